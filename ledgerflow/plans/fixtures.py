@@ -3,8 +3,8 @@
 ``lineitem`` rows become transaction items; documents are blocks of at most
 ``items_per_doc`` consecutive scan rows (``monotonically_increasing_id >> k``
 never crosses a partition, so the bound is exact, needs no shuffle to compute,
-and holds however skewed any column is). One document per file, one file per
-folder ``doc=<id>/``, as a producer drops API responses into a landing area.
+and holds however skewed any column is). One document per file ``<doc>.json``
+in one folder, as a producer drops API responses into a landing area.
 
 Derivation rules (the oracle SQL repeats them):
 
@@ -83,9 +83,48 @@ def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
     )
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """One JSON document per file: ``<path>/doc=<id>/part-*.json``."""
-    docs.write.mode("overwrite").partitionBy("doc").json(path)
+def _fs_root(path: str):
+    """Arrow filesystem + root for a Spark-style path (``file:/…``, ``hdfs://…``, ``s3a://…``)."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    return pafs.FileSystem.from_uri(path)
+
+
+def write_documents(docs: DataFrame, path: str, name_col: str = "doc") -> int:
+    """One JSON document per file ``<path>/<doc>.json``, written by the executors.
+
+    The JSON text is made on the JVM (``to_json``); each task only streams bytes
+    to storage: a hidden temp name first, then a rename, so a reader never sees a
+    partial document, and a retried task rewrites the same names (idempotent).
+    Writing an existing name again replaces that file in place (new mtime).
+    """
+    body = [c for c in docs.columns if c != name_col]
+    text = docs.select(F.col(name_col).cast("string").alias("name"), F.to_json(F.struct(*body)).alias("json"))
+    target = path.rstrip("/")
+
+    def write_part(batches):
+        import pandas as pd
+
+        fs, root = _fs_root(target)
+        fs.create_dir(root, recursive=True)
+        for pdf in batches:
+            sizes = []
+            for name, js in zip(pdf["name"], pdf["json"]):
+                data = js.encode("utf-8")
+                tmp = f"{root}/.{name}.json.tmp"
+                with fs.open_output_stream(tmp) as out:
+                    out.write(data)
+                fs.move(tmp, f"{root}/{name}.json")
+                sizes.append(len(data))
+            yield pd.DataFrame({"name": pdf["name"], "bytes": pd.Series(sizes, dtype="int64")})
+
+    return int(text.mapInPandas(write_part, "name string, bytes long").agg(F.count(F.lit(1))).first()[0])
 
 
 def _fingerprint(path: str, *params) -> str:
@@ -118,4 +157,5 @@ def landing_fixture(
     if where:
         lineitem = lineitem.where(where)
     write_documents(documents(transaction_items(lineitem, bump, extra_field), items_per_doc), path)
+    fs.write_text(f"{path}/_SUCCESS", "", overwrite=True)
     return path

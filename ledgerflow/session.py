@@ -14,6 +14,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _cores(cpus) -> int:
+    import os
+
+    return (os.cpu_count() or 8) if str(cpus) == "*" else int(cpus)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerflow") -> SparkSession:
     """Local session for tests, bench and the examples."""
     spark = (
@@ -30,6 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.streaming.schemaInference", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # one listing task per few hundred files, not one per file
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, 4 * _cores(cpus))))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -25,7 +25,7 @@ from ledgerflow.operators.quality import (
     tag_failures,
     to_quarantine,
 )
-from ledgerflow.plans.fixtures import documents, landing_fixture, transaction_items, write_documents
+from ledgerflow.plans.fixtures import LINEITEM_ORDER, documents, landing_fixture, transaction_items, write_documents
 from ledgerflow.plans.medallion import bronze_batch, ingest_changed, process_silver_batch, silver_current, silver_table
 from ledgerflow.plans.sink import conform, duplicate_keys, write_clustered
 from ledgerflow.plans.upsert import UpsertTable
@@ -83,7 +83,7 @@ def _end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
 
 def _run_end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
     landing = landing_fixture(spark, sf)
-    bronze = _stream_bronze(spark, landing, max_files=RATE_LIMIT_FILES)
+    bronze = _stream_bronze(spark, landing)
     table = silver_table(spark, work_dir(spark, "silver"), SPEC)
     quarantine, metrics = work_dir(spark, "quarantine"), work_dir(spark, "metrics")
     run_silver(spark, bronze, table, quarantine, work_dir(spark, "ckpt-silver"), SPEC, metrics_path=metrics, max_files=4)
@@ -421,7 +421,8 @@ select
   cast({value} - {_d3('l_discount')} as varchar) as transaction_net_value_amount,
   'BRL' as transaction_net_value_currency,
   case when l_orderkey % 13 = 0 then null else strftime(l_shipdate, '%Y-%m') end as transaction_conversion_month,
-  l_linenumber
+  l_linenumber,
+  row_number() over (order by {', '.join(LINEITEM_ORDER)}) as _rk
 from lineitem"""
 
 
@@ -436,7 +437,7 @@ _BRONZE_COLS = ", ".join(DET_BRONZE)
 def _casted_sql(bump: bool = False) -> str:
     dec = ", ".join(f"try_cast({c} as decimal(20,2)) as {c}" for c in _DEC)
     others = ", ".join(c for c in DET_BRONZE if c not in _DEC)
-    return f"select {others}, {dec}, l_linenumber from ({_l_sql(bump)})"
+    return f"select {others}, {dec}, l_linenumber, _rk from ({_l_sql(bump)})"
 
 
 def _rule(cond: str) -> str:
@@ -454,7 +455,13 @@ _EVENTS_LATEST = (
     "select event_id, ts, user_id, event_type, value, props from events "
     "qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1"
 )
-_SILVER_DET_SQL = f"select {', '.join(SILVER_DET)} from ({_casted_sql()}) where {_rule(SPEC.rule_map['valid_business_key'])}"
+_VALID_SQL = f"select {', '.join(SILVER_DET)} from ({_casted_sql()}) where {_rule(SPEC.rule_map['valid_business_key'])}"
+# one row per key: within one ingest batch the greatest file, then the last item, wins
+_LATEST = "qualify row_number() over (partition by client_id, transaction_id order by _rk desc) = 1"
+_SILVER_DET_SQL = (
+    f"select {', '.join(SILVER_DET)} from ({_casted_sql()}) "
+    f"where {_rule(SPEC.rule_map['valid_business_key'])} {_LATEST}"
+)
 
 
 def _json_field(col: str, kind: str) -> str:
@@ -499,7 +506,7 @@ ORACLES = {
     "landing_overwrites": (
         "select client_id, transaction_id, transaction_value_amount, transaction_gross_value_amount, "
         f"transaction_net_value_amount from ({_casted_sql(bump=True)}) "
-        f"where {_rule(SPEC.rule_map['valid_business_key'])}"
+        f"where {_rule(SPEC.rule_map['valid_business_key'])} {_LATEST}"
     ),
     "rescue_unknown_fields": (
         "select client_id, transaction_id, transaction_value_amount, "
@@ -576,6 +583,6 @@ ORACLES = {
         f"as failed_valid_business_key from ({_casted_sql()})"
     ),
     "stream_restart": f"select {_BRONZE_COLS} from ({_l_sql()})",
-    "schema_contract": _SILVER_DET_SQL,
+    "schema_contract": _VALID_SQL,
     "clustered_write": f"select transaction_conversion_month, client_id, transaction_id from ({_l_sql()})",
 }

@@ -27,6 +27,13 @@ from pyspark.sql import functions as F
 from ledgerflow.session import Fs, work_dir
 
 
+# Value order of the fixture rows (file, then position inside the file).
+LINEITEM_ORDER = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
+    "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+]
+
+
 def _dec3(c: Column) -> Column:
     return c.cast("decimal(20,3)")
 
@@ -64,14 +71,23 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
     ]
     if extra_field:
         fields.append(F.col("l_linenumber").alias("settlementDays"))
-    sort_key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    sort_key = F.struct(*[F.col(c) for c in LINEITEM_ORDER])
     return lineitem.select(sort_key.alias("_k"), F.struct(*fields).alias("item"))
 
 
 def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
-    """Blocks of ≤ ``items_per_doc`` consecutive rows → ``(doc, data, links, meta)``."""
+    """Blocks of ≤ ``items_per_doc`` consecutive rows in ``_k`` order → ``(doc, data, links, meta)``.
+
+    The range sort makes file names and item positions follow value order, so
+    "greatest file, then last position" (the within-batch tie-break of silver)
+    is "last in ``_k`` order" — reproducible by SQL. Names are zero-padded so
+    their text order is their numeric order.
+    """
     shift = max(0, int(math.log2(items_per_doc)))
-    with_doc = items.withColumn("doc", F.shiftright(F.monotonically_increasing_id(), shift))
+    ordered = items.orderBy("_k")
+    with_doc = ordered.withColumn(
+        "doc", F.lpad(F.shiftright(F.monotonically_increasing_id(), shift).cast("string"), 20, "0")
+    )
     page = F.concat(F.lit("https://landing.example/transactions?page="), F.col("doc").cast("string"))
     return with_doc.groupBy("doc").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_k", "item"))), lambda x: x["item"]).alias("data"),

@@ -47,9 +47,12 @@ def process_silver_batch(
     metrics_path: str | None = None,
     writer: str = "w0",
     track_actions: bool = False,
+    compact_every: int | None = None,
 ) -> None:
     """One silver micro-batch: validate first, quarantine every failing row, then
-    deduplicate and upsert the valid ones. The tagged batch is computed once."""
+    deduplicate and upsert the valid ones. The tagged batch is computed once.
+    ``compact_every`` folds the log into the base after every N-th batch, which
+    keeps merge-on-read at O(state + N batches)."""
     tagged = silver_view(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if tagged.isEmpty():
@@ -67,6 +70,8 @@ def process_silver_batch(
         if track_actions:
             metrics.update(table.actions(valid).first().asDict())
         table.append(valid, batch_id, writer=writer)
+        if compact_every and (int(batch_id) + 1) % int(compact_every) == 0:
+            table.compact()
         if metrics_path is not None:
             spark = batch.sparkSession
             row = {"writer": writer, "batch_id": int(batch_id), **{k: int(v) for k, v in metrics.items()}}
@@ -83,30 +88,43 @@ def ingest_changed(
     bronze_path: str,
     manifest_path: str,
     spec: TableSpec,
-    max_files: int | None = None,
+    max_files: int = 1000,
     rescue: bool = False,
+    drain: bool = True,
 ) -> int | None:
     """Batch ingest of new *and re-written* files (same name, new modification time).
 
-    Returns the batch id written, or None when nothing changed. The batch id is the
-    number of committed manifest batches, so a crashed run is redone under the same
-    id and its bronze folder overwritten (idempotent).
+    Each batch takes at most ``max_files`` changed files (oldest first), so only a
+    bounded file list ever reaches the driver to plan the read; ``drain`` repeats
+    until nothing is left (``availableNow`` semantics). Returns the last batch id
+    written, or None when nothing changed. A batch id is the number of committed
+    manifest batches, so a crashed run is redone under the same id and its bronze
+    folder overwritten (idempotent).
     """
+    last = None
+    while True:
+        b = _ingest_changed_once(spark, landing, bronze_path, manifest_path, spec, max_files, rescue)
+        if b is None:
+            return last
+        last = b
+        if not drain:
+            return last
+
+
+def _ingest_changed_once(spark, landing, bronze_path, manifest_path, spec, max_files, rescue) -> int | None:
     fs = Fs(spark)
     done = sorted(int(d.split("=")[1]) for d in fs.ls(manifest_path) if d.startswith("batch_id="))
     done = [b for b in done if fs.exists(f"{manifest_path}/batch_id={b}/_SUCCESS")]
     manifest = spark.read.parquet(*[f"{manifest_path}/batch_id={b}" for b in done]) if done else None
     todo = changed_files(spark, list_files(spark, landing), manifest).orderBy("mtime", "path")
-    if max_files is not None:
-        todo = todo.limit(int(max_files))  # admission control: at most this many files per run
-    files = todo.collect()  # the file list of one bounded batch, as any file source plans it
+    files = todo.limit(int(max_files)).collect()  # admission control: one bounded batch of paths
     if not files:
         return None
     batch_id = (max(done) + 1) if done else 0
     paths = [r["path"] for r in files]
     bronze = bronze_batch(spark, paths, spec, rescue=rescue)
     bronze.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
-    spark.createDataFrame([(r["path"], r["mtime"], r["length"]) for r in files], "path string, mtime timestamp, length long").write.mode(
-        "overwrite"
-    ).parquet(f"{manifest_path}/batch_id={batch_id}")
+    spark.createDataFrame(
+        [(r["path"], r["mtime"], r["length"]) for r in files], "path string, mtime timestamp, length long"
+    ).write.mode("overwrite").parquet(f"{manifest_path}/batch_id={batch_id}")
     return batch_id

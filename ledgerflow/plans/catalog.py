@@ -26,7 +26,14 @@ from ledgerflow.operators.quality import (
     to_quarantine,
 )
 from ledgerflow.plans.fixtures import LINEITEM_ORDER, documents, landing_fixture, transaction_items, write_documents
-from ledgerflow.plans.medallion import bronze_batch, ingest_changed, process_silver_batch, silver_current, silver_table
+from ledgerflow.plans.medallion import (
+    bronze_batch,
+    ingest_changed,
+    process_silver_batch,
+    run_pipeline,
+    silver_current,
+    silver_table,
+)
 from ledgerflow.plans.sink import conform, duplicate_keys, write_clustered
 from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs, checkpoint_root, work_dir
@@ -82,12 +89,12 @@ def _end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
 
 
 def _run_end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
-    landing = landing_fixture(spark, sf)
-    bronze = _stream_bronze(spark, landing)
-    table = silver_table(spark, work_dir(spark, "silver"), SPEC)
-    quarantine, metrics = work_dir(spark, "quarantine"), work_dir(spark, "metrics")
-    run_silver(spark, bronze, table, quarantine, work_dir(spark, "ckpt-silver"), SPEC, metrics_path=metrics, max_files=4)
-    return table, quarantine, metrics
+    # one bronze batch (so within-batch ties resolve by file and position), several silver batches
+    out = run_pipeline(
+        spark, SPEC, landing_fixture(spark, sf), work_dir(spark, "flow"),
+        bronze_max_files=None, silver_max_files=4, compact_every=3,
+    )
+    return out["table"], out["quarantine"], out["metrics"]
 
 
 # ------------------------------------------------------------------ sources

@@ -18,6 +18,7 @@ Derivation rules (the oracle SQL repeats them):
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import os
 
@@ -76,27 +77,20 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
 
 
 def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
-    """Blocks of ≤ ``items_per_doc`` consecutive rows in ``_k`` order → ``(doc, data, links, meta)``.
-
-    The range sort makes file names and item positions follow value order, so
-    "greatest file, then last position" (the within-batch tie-break of silver)
-    is "last in ``_k`` order" — reproducible by SQL. Names are zero-padded so
-    their text order is their numeric order.
+    """Items in ``_k`` order with their document: ``(doc, item_json)``.
+
+    A range sort, then blocks of ≤ ``items_per_doc`` consecutive rows of one
+    partition form a document (``monotonically_increasing_id >> k`` never crosses
+    a partition). File names and item positions therefore follow value order, so
+    "greatest file, then last position" (the within-batch tie-break of silver) is
+    "last in ``_k`` order" — reproducible by SQL. Names are zero-padded so their
+    text order is their numeric order. No grouping shuffle: a document is a run
+    of adjacent rows, cut while the partition streams by.
     """
     shift = max(0, int(math.log2(items_per_doc)))
     ordered = items.orderBy("_k")
-    with_doc = ordered.withColumn(
-        "doc", F.lpad(F.shiftright(F.monotonically_increasing_id(), shift).cast("string"), 20, "0")
-    )
-    page = F.concat(F.lit("https://landing.example/transactions?page="), F.col("doc").cast("string"))
-    return with_doc.groupBy("doc").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_k", "item"))), lambda x: x["item"]).alias("data"),
-    ).select(
-        "doc",
-        "data",
-        F.struct(page.alias("self"), page.alias("first"), page.alias("prev"), page.alias("next")).alias("links"),
-        F.struct(F.lit("2024-01-01T00:00:00Z").alias("requestDateTime")).alias("meta"),
-    )
+    doc = F.lpad(F.shiftright(F.monotonically_increasing_id(), shift).cast("string"), 20, "0")
+    return ordered.select(doc.alias("doc"), F.to_json("item").alias("item_json"))
 
 
 def _fs_root(path: str):
@@ -112,16 +106,24 @@ def _fs_root(path: str):
     return pafs.FileSystem.from_uri(path)
 
 
-def write_documents(docs: DataFrame, path: str, name_col: str = "doc") -> int:
+LINK_BASE = "https://landing.example/transactions?page="
+META = {"requestDateTime": "2024-01-01T00:00:00Z"}
+
+
+def _document_text(doc: str, item_jsons: list[str]) -> bytes:
+    page = json.dumps(LINK_BASE + str(int(doc)))
+    links = "{" + ",".join(f'"{k}":{page}' for k in ("self", "first", "prev", "next")) + "}"
+    return ('{"data":[' + ",".join(item_jsons) + '],"links":' + links + ',"meta":' + json.dumps(META) + "}").encode()
+
+
+def write_documents(docs: DataFrame, path: str) -> int:
     """One JSON document per file ``<path>/<doc>.json``, written by the executors.
 
-    The JSON text is made on the JVM (``to_json``); each task only streams bytes
-    to storage: a hidden temp name first, then a rename, so a reader never sees a
-    partial document, and a retried task rewrites the same names (idempotent).
-    Writing an existing name again replaces that file in place (new mtime).
+    Items arrive in order; a document is closed when the ``doc`` value changes.
+    Each file is written under a hidden temp name and renamed, so a reader never
+    sees a partial document, and a retried task rewrites the same names
+    (idempotent). Writing an existing name again replaces that file in place.
     """
-    body = [c for c in docs.columns if c != name_col]
-    text = docs.select(F.col(name_col).cast("string").alias("name"), F.to_json(F.struct(*body)).alias("json"))
     target = path.rstrip("/")
 
     def write_part(batches):
@@ -129,18 +131,30 @@ def write_documents(docs: DataFrame, path: str, name_col: str = "doc") -> int:
 
         fs, root = _fs_root(target)
         fs.create_dir(root, recursive=True)
+        names, sizes = [], []
+        cur, buf = None, []
+
+        def flush():
+            data = _document_text(cur, buf)
+            tmp = f"{root}/.{cur}.json.tmp"
+            with fs.open_output_stream(tmp) as out:
+                out.write(data)
+            fs.move(tmp, f"{root}/{cur}.json")
+            names.append(cur)
+            sizes.append(len(data))
+
         for pdf in batches:
-            sizes = []
-            for name, js in zip(pdf["name"], pdf["json"]):
-                data = js.encode("utf-8")
-                tmp = f"{root}/.{name}.json.tmp"
-                with fs.open_output_stream(tmp) as out:
-                    out.write(data)
-                fs.move(tmp, f"{root}/{name}.json")
-                sizes.append(len(data))
-            yield pd.DataFrame({"name": pdf["name"], "bytes": pd.Series(sizes, dtype="int64")})
-
-    return int(text.mapInPandas(write_part, "name string, bytes long").agg(F.count(F.lit(1))).first()[0])
+            for d, js in zip(pdf["doc"], pdf["item_json"]):
+                if d != cur:
+                    if buf:
+                        flush()
+                    cur, buf = d, []
+                buf.append(js)
+        if buf:
+            flush()
+        yield pd.DataFrame({"name": pd.Series(names, dtype="object"), "bytes": pd.Series(sizes, dtype="int64")})
+
+    return int(docs.mapInPandas(write_part, "name string, bytes long").agg(F.count(F.lit(1))).first()[0])
 
 
 def _fingerprint(path: str, *params) -> str:

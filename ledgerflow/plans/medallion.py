@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators.casts import silver_cast
 from ledgerflow.operators.flatten import bronze_frame
-from ledgerflow.operators.quality import REASON, keep_rejected, keep_valid, rule_passes, tag_failures, to_quarantine
+from ledgerflow.operators.quality import REASON, keep_rejected, keep_valid, tag_failures, to_quarantine
 from ledgerflow.plans.sink import write_quarantine
 from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs
@@ -25,9 +25,26 @@ def bronze_batch(spark: SparkSession, landing, spec: TableSpec, rescue: bool = F
     return bronze_frame(read_landing(spark, landing, spec, stream=False, rescue=rescue), spec)
 
 
-def silver_view(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """Casted rows with the failure reason attached (the shared input of both outputs)."""
-    return tag_failures(silver_cast(bronze, spec), spec.rule_map)
+def cast_ok_flags(spec: TableSpec) -> dict[str, str]:
+    """Optional rules ``cast_ok_<col>``: a value present in bronze must survive its silver cast."""
+    return {f"cast_ok_{c}": f"_ok_{c}" for c in spec.cast_map}
+
+
+def silver_view(bronze: DataFrame, spec: TableSpec, cast_check: bool = False) -> DataFrame:
+    """Casted rows with the failure reason attached (the shared input of both outputs).
+
+    ``cast_check`` adds one rule per cast column that fails when a non-NULL text
+    value became NULL (evaluated on the text before the cast, in the same projection).
+    """
+    rules = spec.rule_map
+    if cast_check:
+        flags = {
+            f"_ok_{c}": F.col(c).isNull() | F.col(c).try_cast(t).isNotNull() for c, t in spec.cast_map.items()
+        }
+        bronze = bronze.withColumns(flags)
+        rules = {**rules, **cast_ok_flags(spec)}
+    tagged = tag_failures(silver_cast(bronze, spec), rules)
+    return tagged.drop(*[f"_ok_{c}" for c in spec.cast_map]) if cast_check else tagged
 
 
 def silver_table(spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64) -> UpsertTable:
@@ -48,18 +65,20 @@ def process_silver_batch(
     writer: str = "w0",
     track_actions: bool = False,
     compact_every: int | None = None,
+    cast_check: bool = False,
 ) -> None:
     """One silver micro-batch: validate first, quarantine every failing row, then
     deduplicate and upsert the valid ones. The tagged batch is computed once.
     ``compact_every`` folds the log into the base after every N-th batch, which
     keeps merge-on-read at O(state + N batches)."""
-    tagged = silver_view(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = silver_view(batch, spec, cast_check).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if tagged.isEmpty():
             return
-        rules = spec.rule_map
+        rules = {**spec.rule_map, **(cast_ok_flags(spec) if cast_check else {})}
         counts = [F.count(F.lit(1)).alias("n_input"), F.count_if(F.col(REASON) == "").alias("n_valid")]
-        counts += [F.count_if(~rule_passes(c)).alias(f"failed_{n}") for n, c in rules.items()]
+        failed = F.split(F.col(REASON), ", ")
+        counts += [F.count_if(F.array_contains(failed, n)).alias(f"failed_{n}") for n in rules]
         metrics = tagged.agg(*counts).first().asDict()
         rejected = int(metrics["n_input"]) - int(metrics["n_valid"])
         if rejected > 0:
@@ -128,3 +147,36 @@ def _ingest_changed_once(spark, landing, bronze_path, manifest_path, spec, max_f
         [(r["path"], r["mtime"], r["length"]) for r in files], "path string, mtime timestamp, length long"
     ).write.mode("overwrite").parquet(f"{manifest_path}/batch_id={batch_id}")
     return batch_id
+
+
+def run_pipeline(
+    spark: SparkSession,
+    spec: TableSpec,
+    landing: str,
+    root: str,
+    *,
+    rescue: bool = False,
+    bronze_max_files: int | None = 1000,
+    silver_max_files: int | None = None,
+    compact_every: int | None = 10,
+    buckets: int = 64,
+    writer: str = "w0",
+) -> dict:
+    """The whole flow, drained once: landing → bronze stream → silver stream.
+
+    Folders under ``root``: ``bronze``, ``silver``, ``quarantine``, ``metrics`` and the two
+    stream checkpoints. Run it again on the same root to pick up new files only.
+    Returns the paths and the silver :class:`UpsertTable`.
+    """
+    from ledgerflow.streaming.bronze import run_bronze
+    from ledgerflow.streaming.silver import run_silver
+
+    root = root.rstrip("/")
+    paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "quarantine", "metrics", "_ckpt_bronze", "_ckpt_silver")}
+    run_bronze(spark, landing, paths["bronze"], paths["_ckpt_bronze"], spec, rescue=rescue, max_files=bronze_max_files)
+    table = silver_table(spark, paths["silver"], spec, buckets=buckets)
+    run_silver(
+        spark, paths["bronze"], table, paths["quarantine"], paths["_ckpt_silver"], spec,
+        metrics_path=paths["metrics"], max_files=silver_max_files, compact_every=compact_every, writer=writer,
+    )
+    return {**paths, "table": table}

@@ -177,3 +177,39 @@ def test_rate_limited_stream_makes_batches(spark, spec, tmp_path):
     progress = run_bronze(spark, str(tmp_path / "landing"), str(tmp_path / "b"), str(tmp_path / "c"), spec, max_files=3)
     assert len([p for p in progress if p["numInputRows"]]) >= 5
     assert spark.read.parquet(str(tmp_path / "b")).count() == sum(g[1] for g in GOLDENS.values())
+
+
+def test_bytes_admission_and_clustered_stream(spark, spec, tmp_path):
+    write_goldens(str(tmp_path / "landing"))
+    total = sum(g[1] for g in GOLDENS.values())
+    prog = run_bronze(spark, str(tmp_path / "landing"), str(tmp_path / "b1"), str(tmp_path / "c1"), spec, max_bytes="1k")
+    assert len([p for p in prog if p["numInputRows"]]) >= 3
+    assert spark.read.parquet(str(tmp_path / "b1")).count() == total
+    run_bronze(spark, str(tmp_path / "landing"), str(tmp_path / "b2"), str(tmp_path / "c2"), spec, clustered=True)
+    b2 = spark.read.parquet(str(tmp_path / "b2"))
+    assert b2.count() == total and "batch_id" in b2.columns
+
+
+def test_cast_check_rule_and_month_text(spark, spec, tmp_path):
+    from ledgerflow.operators.quality import keep_rejected, to_quarantine
+    from ledgerflow.plans.medallion import bronze_batch, silver_view
+
+    write_goldens(str(tmp_path), names={"ok", "bad_amount"})
+    v = silver_view(bronze_batch(spark, str(tmp_path), spec), spec, cast_check=True)
+    reasons = {r["transaction_id"]: r["_failure_reason"] for r in v.collect()}
+    assert reasons == {"ok": "", "bad_amount": "cast_ok_transaction_value_amount"}
+    q = to_quarantine(keep_rejected(v), spec.quarantine_exclude, month_as_text=True).first()
+    assert len(q["rejected_at_month"]) == 7 and q["rejected_at_month"][4] == "-"
+
+
+def test_run_pipeline_twice_picks_up_new_files(spark, spec, tmp_path):
+    from ledgerflow.plans.medallion import run_pipeline
+
+    landing = tmp_path / "landing"
+    write_goldens(str(landing), names={"ok", "empty_key"})
+    out = run_pipeline(spark, spec, str(landing), str(tmp_path / "flow"), buckets=4)
+    assert silver_current(out["table"], spec).count() == 1
+    (landing / "more.json").write_text(json.dumps(doc(item("more"))))
+    out = run_pipeline(spark, spec, str(landing), str(tmp_path / "flow"), buckets=4)
+    assert sorted(r["transaction_id"] for r in silver_current(out["table"], spec).collect()) == ["more", "ok"]
+    assert spark.read.parquet(out["quarantine"]).count() == 1

@@ -73,13 +73,14 @@ def process_silver_batch(
     keeps merge-on-read at O(state + N batches)."""
     tagged = silver_view(batch, spec, cast_check).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if tagged.isEmpty():
-            return
         rules = {**spec.rule_map, **(cast_ok_flags(spec) if cast_check else {})}
         counts = [F.count(F.lit(1)).alias("n_input"), F.count_if(F.col(REASON) == "").alias("n_valid")]
         failed = F.split(F.col(REASON), ", ")
         counts += [F.count_if(F.array_contains(failed, n)).alias(f"failed_{n}") for n in rules]
+        # one job fills the cache and answers both "empty?" and the batch metrics
         metrics = tagged.agg(*counts).first().asDict()
+        if int(metrics["n_input"]) == 0:
+            return
         rejected = int(metrics["n_input"]) - int(metrics["n_valid"])
         if rejected > 0:
             log.warning("[batch %s] %s rows failed expectations → %s", batch_id, rejected, quarantine_path)

@@ -50,9 +50,31 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
     """
     if audit:
         docs = with_audit(docs)
-    # Zip the typed items with their raw maps (rescue path); fall back to the typed
-    # array alone when there is nothing to zip with (fast path, or unparsable raw).
+    if "_raw_items" not in docs.columns:
+        # fast path: explode the typed array directly (stays in whole-stage codegen)
+        exploded = docs.select(
+            SOURCE_FILE, INGESTION_TS, INGESTION_DATE, F.posexplode_outer(spec.items).alias(ITEM_POS, "_item")
+        )
+        item = F.col("_item")
+        rescued = F.lit(None).cast("string")
+    else:
+        exploded, item, rescued = _explode_rescued(docs, spec)
+    cols = project_paths(item, spec.fields)
+    by_name = {c: col for c, col in zip(spec.business_columns, cols)}
+    for d in spec.date_columns:
+        by_name[d] = safe_date(item_path(item, spec, d)).alias(d)
+    select = [by_name[c] for c in spec.business_columns]
+    select += [F.col(SOURCE_FILE), F.col(INGESTION_TS), F.col(INGESTION_DATE), rescued.alias(RESCUED)]
+    for month_col, date_col in spec.month_columns:
+        select.append(month_text(safe_date(item_path(item, spec, date_col))).alias(month_col))
+    select.append(F.col(ITEM_POS))
+    return exploded.select(*select)
+
+
+def _explode_rescued(docs: DataFrame, spec: TableSpec):
+    """Rescue path: zip typed items with their raw maps, explode, and build ``_rescued_data``."""
     typed = F.col(spec.items)
+    # fall back to the typed array alone when the raw side is missing (unparsable raw)
     zipped = F.coalesce(
         F.arrays_zip(typed.alias("t"), F.col("_raw_items").alias("r")),
         F.transform(typed, lambda x: F.struct(x.alias("t"), F.lit(None).cast("map<string,string>").alias("r"))),
@@ -65,15 +87,15 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
         F.posexplode_outer(zipped).alias(ITEM_POS, "_z"),
     )
     item = F.col("_z.t")
-    item_unknown = F.col("_z.r")
+    item_unknown = F.coalesce(F.col("_z.r"), F.create_map().cast("map<string,string>"))
     doc_unknown = F.from_json(F.col("_doc_rescue"), "map<string,string>")
-    # Rescued data: raw text of an unreadable document, else JSON of the unknown item
-    # and document fields (item wins on a name clash) plus the file they came from.
+    # Raw text of an unreadable document; else JSON of the unknown item and document
+    # fields (item wins on a name clash) plus the file they came from.
     merged = F.map_concat(
-        F.coalesce(item_unknown, F.create_map().cast("map<string,string>")),
+        item_unknown,
         F.map_filter(
             F.coalesce(doc_unknown, F.create_map().cast("map<string,string>")),
-            lambda k, v: ~F.map_contains_key(F.coalesce(item_unknown, F.create_map().cast("map<string,string>")), k),
+            lambda k, v: ~F.map_contains_key(item_unknown, k),
         ),
     )
     rescued = (
@@ -81,16 +103,7 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
         .when(F.size(merged) > 0, F.to_json(F.map_concat(merged, F.create_map(F.lit("_file_path"), F.col(SOURCE_FILE)))))
         .otherwise(F.lit(None).cast("string"))
     )
-    cols = project_paths(item, spec.fields)
-    by_name = {c: col for c, col in zip(spec.business_columns, cols)}
-    for d in spec.date_columns:
-        by_name[d] = safe_date(item_path(item, spec, d)).alias(d)
-    select = [by_name[c] for c in spec.business_columns]
-    select += [F.col(SOURCE_FILE), F.col(INGESTION_TS), F.col(INGESTION_DATE), rescued.alias(RESCUED)]
-    for month_col, date_col in spec.month_columns:
-        select.append(month_text(safe_date(item_path(item, spec, date_col))).alias(month_col))
-    select.append(F.col(ITEM_POS))
-    return exploded.select(*select)
+    return exploded, item, rescued
 
 
 def item_path(item: Column, spec: TableSpec, column: str) -> Column:

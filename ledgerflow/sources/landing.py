@@ -4,7 +4,7 @@ Two paths produce the same per-document frame
 ``(<read_schema fields>, source_file, _doc_rescue, _raw_items)``:
 
 * fast path — Spark's JSON source with the explicit schema; nothing is rescued
-  (``_doc_rescue`` and ``_raw_items`` are NULL);
+  (the frame has no ``_doc_rescue`` / ``_raw_items`` columns);
 * rescue path — whole files as text, parsed twice on the JVM: once typed by the
   schema and once as string maps, so fields the schema does not know are kept
   (per document in ``_doc_rescue``, per array item in ``_raw_items``) instead of
@@ -69,12 +69,7 @@ def read_landing(
     r = _reader(spark, "json", stream, glob, max_files, max_bytes)
     r = r.schema(spec.read_schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
     df = r.load(paths[0]) if stream else r.load(paths)
-    return df.select(
-        *[F.col(f.name) for f in spec.read_schema.fields],
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.lit(None).cast(StringType()).alias("_doc_rescue"),
-        F.lit(None).cast(ArrayType(_MAP)).alias("_raw_items"),
-    )
+    return df.select(*[F.col(f.name) for f in spec.read_schema.fields], F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def _unknown(m: Column, known: list[str]) -> Column:

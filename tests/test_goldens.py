@@ -213,3 +213,9 @@ def test_run_pipeline_twice_picks_up_new_files(spark, spec, tmp_path):
     out = run_pipeline(spark, spec, str(landing), str(tmp_path / "flow"), buckets=4)
     assert sorted(r["transaction_id"] for r in silver_current(out["table"], spec).collect()) == ["more", "ok"]
     assert spark.read.parquet(out["quarantine"]).count() == 1
+
+
+def test_spread_items_keeps_rows(spark, spec, tmp_path):
+    write_goldens(str(tmp_path / "landing"))
+    run_bronze(spark, str(tmp_path / "landing"), str(tmp_path / "b"), str(tmp_path / "c"), spec, spread_items=4)
+    assert spark.read.parquet(str(tmp_path / "b")).count() == sum(g[1] for g in GOLDENS.values())

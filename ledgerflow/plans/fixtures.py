@@ -93,29 +93,10 @@ def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
     return ordered.select(doc.alias("doc"), F.to_json("item").alias("item_json"))
 
 
-def _fs_root(path: str):
-    """Arrow filesystem + root for a Spark-style path (``file:/…``, ``hdfs://…``, ``s3a://…``)."""
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    if "://" not in path:
-        return pafs.LocalFileSystem(), path
-    if path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    return pafs.FileSystem.from_uri(path)
-
-
 LINK_BASE = "https://landing.example/transactions?page="
 META = {"requestDateTime": "2024-01-01T00:00:00Z"}
 
 
-def _document_text(doc: str, item_jsons: list[str]) -> bytes:
-    page = json.dumps(LINK_BASE + str(int(doc)))
-    links = "{" + ",".join(f'"{k}":{page}' for k in ("self", "first", "prev", "next")) + "}"
-    return ('{"data":[' + ",".join(item_jsons) + '],"links":' + links + ',"meta":' + json.dumps(META) + "}").encode()
-
-
 def write_documents(docs: DataFrame, path: str) -> int:
     """One JSON document per file ``<path>/<doc>.json``, written by the executors.
 
@@ -123,19 +104,40 @@ def write_documents(docs: DataFrame, path: str) -> int:
     Each file is written under a hidden temp name and renamed, so a reader never
     sees a partial document, and a retried task rewrites the same names
     (idempotent). Writing an existing name again replaces that file in place.
+    Everything the task runs is defined here, so it ships by value (executors do
+    not need this package installed).
     """
     target = path.rstrip("/")
+    link_base, meta_json = LINK_BASE, json.dumps(META)
 
     def write_part(batches):
-        import pandas as pd
+        import json as _json
 
-        fs, root = _fs_root(target)
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def fs_root(p: str):
+            # Arrow filesystem + root for a Spark-style path (file:/…, hdfs://…, s3a://…)
+            if p.startswith("file:"):
+                p = "/" + p[len("file:"):].lstrip("/")
+            if "://" not in p:
+                return pafs.LocalFileSystem(), p
+            if p.startswith("s3a://"):
+                p = "s3://" + p[len("s3a://"):]
+            return pafs.FileSystem.from_uri(p)
+
+        def document_text(doc: str, item_jsons: list) -> bytes:
+            page = _json.dumps(link_base + str(int(doc)))
+            links = "{" + ",".join(f'"{k}":{page}' for k in ("self", "first", "prev", "next")) + "}"
+            return ('{"data":[' + ",".join(item_jsons) + '],"links":' + links + ',"meta":' + meta_json + "}").encode()
+
+        fs, root = fs_root(target)
         fs.create_dir(root, recursive=True)
         names, sizes = [], []
         cur, buf = None, []
 
         def flush():
-            data = _document_text(cur, buf)
+            data = document_text(cur, buf)
             tmp = f"{root}/.{cur}.json.tmp"
             with fs.open_output_stream(tmp) as out:
                 out.write(data)

@@ -161,7 +161,7 @@ def run_pipeline(
     silver_max_files: int | None = None,
     compact_every: int | None = 10,
     buckets: int = 64,
-    writer: str = "w0",
+    writer: str | None = None,
 ) -> dict:
     """The whole flow, drained once: landing → bronze stream → silver stream.
 

@@ -219,3 +219,17 @@ def test_spread_items_keeps_rows(spark, spec, tmp_path):
     write_goldens(str(tmp_path / "landing"))
     run_bronze(spark, str(tmp_path / "landing"), str(tmp_path / "b"), str(tmp_path / "c"), spec, spread_items=4)
     assert spark.read.parquet(str(tmp_path / "b")).count() == sum(g[1] for g in GOLDENS.values())
+
+
+def test_new_silver_checkpoint_is_a_new_writer(spark, spec, tmp_path):
+    """Batch ids restart at 0 with a new checkpoint; its rows must not be taken for replays."""
+    landing, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    landing.mkdir()
+    (landing / "a.json").write_text(json.dumps(doc(item("a"))))
+    run_bronze(spark, str(landing), bronze, str(tmp_path / "cb"), spec)
+    table = silver_table(spark, str(tmp_path / "silver"), spec, buckets=2)
+    run_silver(spark, bronze, table, str(tmp_path / "q"), str(tmp_path / "cs1"), spec, compact_every=1)
+    (landing / "b.json").write_text(json.dumps(doc(item("b"))))
+    run_bronze(spark, str(landing), bronze, str(tmp_path / "cb"), spec)
+    run_silver(spark, bronze, table, str(tmp_path / "q"), str(tmp_path / "cs2"), spec, compact_every=1)
+    assert sorted(r["transaction_id"] for r in silver_current(table, spec).collect()) == ["a", "b"]

@@ -233,3 +233,12 @@ def test_new_silver_checkpoint_is_a_new_writer(spark, spec, tmp_path):
     run_bronze(spark, str(landing), bronze, str(tmp_path / "cb"), spec)
     run_silver(spark, bronze, table, str(tmp_path / "q"), str(tmp_path / "cs2"), spec, compact_every=1)
     assert sorted(r["transaction_id"] for r in silver_current(table, spec).collect()) == ["a", "b"]
+
+
+def test_clustered_bronze_feeds_silver(spark, spec, tmp_path):
+    write_goldens(str(tmp_path / "landing"))
+    bronze = str(tmp_path / "bronze")
+    run_bronze(spark, str(tmp_path / "landing"), bronze, str(tmp_path / "cb"), spec, clustered=True)
+    table = silver_table(spark, str(tmp_path / "silver"), spec, buckets=2)
+    run_silver(spark, bronze, table, str(tmp_path / "q"), str(tmp_path / "cs"), spec)
+    assert silver_current(table, spec).count() == sum(g[2] for g in GOLDENS.values())

@@ -76,12 +76,18 @@ def main() -> None:
     # a second silver stream adds 10 update batches (10% of keys each) to the same table
     li = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
 
+    # the update batches arrive as their own bronze files (written untimed, as a stream's new files)
+    b = spark.read.parquet(bronze)
+    arrivals = []
+    for i in range(10):
+        p = work_dir(spark, f"bench-arrival-{i}")
+        part = b.where(F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == i)
+        part.withColumn("ingestion_ts", F.current_timestamp()).write.parquet(p)
+        arrivals.append(p)
+
     def updates():
-        b = spark.read.parquet(bronze)
-        for i in range(10):
-            part = b.where(F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == i)
-            part = part.withColumn("ingestion_ts", F.current_timestamp())
-            process_silver_batch(part, 1 + i, spec, table, work_dir(spark, "bench-q2"))
+        for i, p in enumerate(arrivals):
+            process_silver_batch(spark.read.parquet(p), 1 + i, spec, table, work_dir(spark, "bench-q2"), writer="bench")
 
     timed("silver_10_update_batches", updates)
     timed("silver_current_log", lambda: silver_current(table, spec).count())

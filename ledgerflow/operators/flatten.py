@@ -84,11 +84,12 @@ def _explode_rescued(docs: DataFrame, spec: TableSpec):
         INGESTION_TS,
         INGESTION_DATE,
         "_doc_rescue",
+        "_doc_unknown",
         F.posexplode_outer(zipped).alias(ITEM_POS, "_z"),
     )
     item = F.col("_z.t")
     item_unknown = F.coalesce(F.col("_z.r"), F.create_map().cast("map<string,string>"))
-    doc_unknown = F.from_json(F.col("_doc_rescue"), "map<string,string>")
+    doc_unknown = F.col("_doc_unknown")
     # Raw text of an unreadable document; else JSON of the unknown item and document
     # fields (item wins on a name clash) plus the file they came from.
     merged = F.map_concat(
@@ -99,7 +100,7 @@ def _explode_rescued(docs: DataFrame, spec: TableSpec):
         ),
     )
     rescued = (
-        F.when(F.col("_doc_rescue").isNotNull() & doc_unknown.isNull(), F.col("_doc_rescue"))
+        F.when(F.col("_doc_rescue").isNotNull(), F.col("_doc_rescue"))
         .when(F.size(merged) > 0, F.to_json(F.map_concat(merged, F.create_map(F.lit("_file_path"), F.col(SOURCE_FILE)))))
         .otherwise(F.lit(None).cast("string"))
     )

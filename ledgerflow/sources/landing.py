@@ -7,7 +7,7 @@ Two paths produce the same per-document frame
   (the frame has no ``_doc_rescue`` / ``_raw_items`` columns);
 * rescue path — whole files as text, parsed twice on the JVM: once typed by the
   schema and once as string maps, so fields the schema does not know are kept
-  (per document in ``_doc_rescue``, per array item in ``_raw_items``) instead of
+  (per document in ``_doc_unknown``, per array item in ``_raw_items``) instead of
   being dropped silently. A document that does not parse keeps its raw text.
 
 Overwritten files are handled by :func:`changed_files`: a distributed listing
@@ -108,16 +108,14 @@ def _read_rescue(spark, paths, spec: TableSpec, stream, glob, max_files, max_byt
     raw_items = F.transform(
         F.from_json(raw_doc.getItem(spec.items), ArrayType(_MAP)), lambda m: _unknown(m, known_item)
     )
-    # A document that did not parse at all keeps its raw text; one that parsed
-    # keeps its unknown top-level fields as JSON.
-    doc_rescue = (
-        F.when(F.col("_d").isNull() | raw_doc.isNull() | corrupt.isNotNull(), F.col("value"))
-        .when(F.size(doc_unknown) > 0, F.to_json(doc_unknown))
-    )
+    # A document that did not parse keeps its raw text (_doc_rescue); one that parsed
+    # keeps its unknown top-level fields as a map (_doc_unknown).
+    unreadable = F.col("_d").isNull() | raw_doc.isNull() | corrupt.isNotNull()
     return docs.select(
         *[doc.getField(f.name).alias(f.name) for f in doc_schema.fields],
         SOURCE_FILE,
-        doc_rescue.alias("_doc_rescue"),
+        F.when(unreadable, F.col("value")).alias("_doc_rescue"),
+        F.when(~unreadable, doc_unknown).alias("_doc_unknown"),
         raw_items.alias("_raw_items"),
     )
 

@@ -42,7 +42,7 @@ def main():
     t.append(ev.where("event_id % 2 = 0"), 0)
     t.compact()
     t.append(ev.where("event_id % 2 = 1"), 1)
-    show("merge-on-read: base scanned once per branch, log keys broadcast, no shuffle of the base", t.current())
+    show("merge-on-read: one full scan of the base against the broadcast log rows, one key-only scan for inserts", t.current())
     show("bucket-restricted read (folder pruning of the base, row-group filter on the log)", t.current(buckets={3}))
 
 

@@ -39,7 +39,6 @@ from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs, checkpoint_root, work_dir
 from ledgerflow.spec import SOURCE_FILE, transactions_spec
 from ledgerflow.streaming.bronze import run_bronze
-from ledgerflow.streaming.silver import run_silver
 
 SPEC = transactions_spec()
 DET_BRONZE = SPEC.business_columns + ["transaction_conversion_month"]

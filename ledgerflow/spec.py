@@ -7,7 +7,7 @@ document-shaped feed, not only the transactions one defined here.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     ArrayType,

@@ -1,6 +1,5 @@
 """Physical plan checks: map-only bronze, partial top-1 before the shuffle, pushdown, broadcast merge."""
 
-import json
 
 from pyspark.sql import functions as F
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import (
     DataType,
     DateType,
     DecimalType,
+    IntegerType,
     StringType,
     StructField,
     StructType,
@@ -97,8 +98,6 @@ class TableSpec:
             elif c == INGESTION_TS:
                 t = TimestampType()
             elif c == ITEM_POS:
-                from pyspark.sql.types import IntegerType
-
                 t = IntegerType()
             else:
                 t = StringType()

@@ -87,3 +87,12 @@ def test_conform_types_order_and_not_null(spark, spec):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "k int, j string")
     assert [tuple(r) for r in duplicate_keys(df, ["k", "j"]).collect()] == [(1, "a", 2)]
+
+
+def test_expect_all_keeps_rows_and_observes(spark):
+    from ledgerflow.operators.quality import expect_all
+
+    df = spark.createDataFrame([("a", 1), ("", 1), (None, None), (" ", -1)], "k string, v int")
+    observed, obs = expect_all(df, RULES)
+    assert observed.count() == 4
+    assert obs.get == {"rows": 4, "failed_key": 2, "failed_positive": 2}

@@ -1,10 +1,10 @@
 """Landing documents derived from the driver tables, written by Spark.
 
 ``lineitem`` rows become transaction items; documents are blocks of at most
-``items_per_doc`` consecutive scan rows (``monotonically_increasing_id >> k``
-never crosses a partition, so the bound is exact, needs no shuffle to compute,
-and holds however skewed any column is). One document per file ``<doc>.json``
-in one folder, as a producer drops API responses into a landing area.
+``items_per_doc`` adjacent rows of one partition (``monotonically_increasing_id >> k``
+never crosses a partition, so the bound is exact and holds however skewed any
+column is). One document per file ``<doc>.json`` in one folder, as a producer
+drops API responses into a landing area.
 
 Derivation rules (the oracle SQL repeats them):
 
@@ -77,18 +77,22 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
 
 
 def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
-    """Items in ``_k`` order with their document: ``(doc, item_json)``.
-
-    A range sort, then blocks of ≤ ``items_per_doc`` consecutive rows of one
-    partition form a document (``monotonically_increasing_id >> k`` never crosses
-    a partition). File names and item positions therefore follow value order, so
-    "greatest file, then last position" (the within-batch tie-break of silver) is
-    "last in ``_k`` order" — reproducible by SQL. Names are zero-padded so their
-    text order is their numeric order. No grouping shuffle: a document is a run
-    of adjacent rows, cut while the partition streams by.
+    """Items with their document: ``(doc, item_json)``, in ``_k`` order inside each partition.
+
+    Rows are hash-partitioned on the business-key part of ``_k`` (so every set of
+    duplicates of a key lives in one partition, and a hot order key still spreads
+    over partitions), sorted by ``_k`` inside the partition, and cut into blocks of
+    ≤ ``items_per_doc`` adjacent rows (``monotonically_increasing_id >> k`` never
+    crosses a partition). Among duplicates of a key, the later in ``_k`` order gets
+    the greater zero-padded file name or the later position, which is "last in
+    ``_k`` order" — reproducible by SQL. Partitioning is by hash with a count fixed
+    by the input, so the layout (every file name) does not depend on item content:
+    a re-written version replaces the same files in place.
     """
     shift = max(0, int(math.log2(items_per_doc)))
-    ordered = items.orderBy("_k")
+    n = max(1, items.rdd.getNumPartitions())
+    key = [F.col("_k").getField(c) for c in LINEITEM_ORDER[:4]]
+    ordered = items.repartition(n, *key).sortWithinPartitions("_k")
     doc = F.lpad(F.shiftright(F.monotonically_increasing_id(), shift).cast("string"), 20, "0")
     return ordered.select(doc.alias("doc"), F.to_json("item").alias("item_json"))
 

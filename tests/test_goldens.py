@@ -242,3 +242,12 @@ def test_clustered_bronze_feeds_silver(spark, spec, tmp_path):
     table = silver_table(spark, str(tmp_path / "silver"), spec, buckets=2)
     run_silver(spark, bronze, table, str(tmp_path / "q"), str(tmp_path / "cs"), spec)
     assert silver_current(table, spec).count() == sum(g[2] for g in GOLDENS.values())
+
+
+def test_changed_files_drain_in_bounded_batches(spark, spec, tmp_path):
+    write_goldens(str(tmp_path / "landing"))
+    bronze, manifest = str(tmp_path / "bronze"), str(tmp_path / "manifest")
+    last = ingest_changed(spark, str(tmp_path / "landing"), bronze, manifest, spec, max_files=5)
+    assert last == (len(GOLDENS) + 4) // 5 - 1  # ceil(files / 5) batches, ids from 0
+    assert spark.read.parquet(bronze).count() == sum(g[1] for g in GOLDENS.values())
+    assert ingest_changed(spark, str(tmp_path / "landing"), bronze, manifest, spec, max_files=5) is None

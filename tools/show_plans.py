@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ledgerflow.operators.latest import latest_per_key  # noqa: E402
+from ledgerflow.operators.latest import latest_by_max, latest_per_key  # noqa: E402
 from ledgerflow.plans.fixtures import landing_fixture  # noqa: E402
 from ledgerflow.plans.medallion import bronze_batch, silver_view  # noqa: E402
 from ledgerflow.plans.upsert import UpsertTable  # noqa: E402
@@ -38,6 +38,10 @@ def main():
         "latest per key with a key filter (partial WindowGroupLimit before the exchange, filter pushed to scan)",
         latest_per_key(ev, ["user_id", "event_type"], ["ts", "event_id"]).where(F.col("user_id") == 5),
     )
+    show(
+        "latest per key, aggregate form (partial max_by before the exchange)",
+        latest_by_max(ev, ["user_id", "event_type"], ["ts", "event_id"]),
+    )
     t = UpsertTable(spark, work_dir(spark, "plans"), ["user_id", "event_type"], ["ts", "event_id"], buckets=16)
     t.append(ev.where("event_id % 2 = 0"), 0)
     t.compact()

@@ -96,3 +96,16 @@ def test_expect_all_keeps_rows_and_observes(spark):
     observed, obs = expect_all(df, RULES)
     assert observed.count() == 4
     assert obs.get == {"rows": 4, "failed_key": 2, "failed_positive": 2}
+
+
+def test_latest_per_key_with_a_hot_key(spark):
+    """One key holds a third of all rows: both forms still return the brute-force winners."""
+    from conftest import SF
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    hot = ev.withColumn("user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    pdf = hot.toPandas().sort_values(["ts", "event_id"]).groupby(["user_id", "event_type"]).tail(1)
+    expected = sorted(pdf["event_id"].tolist())
+    for fn in (latest_per_key, latest_by_max):
+        got = sorted(r["event_id"] for r in fn(hot, ["user_id", "event_type"], ["ts", "event_id"]).collect())
+        assert got == expected

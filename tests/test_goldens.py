@@ -251,3 +251,15 @@ def test_changed_files_drain_in_bounded_batches(spark, spec, tmp_path):
     assert last == (len(GOLDENS) + 4) // 5 - 1  # ceil(files / 5) batches, ids from 0
     assert spark.read.parquet(bronze).count() == sum(g[1] for g in GOLDENS.values())
     assert ingest_changed(spark, str(tmp_path / "landing"), bronze, manifest, spec, max_files=5) is None
+
+
+def test_run_pipeline_with_rescue(spark, spec, tmp_path):
+    from ledgerflow.plans.medallion import run_pipeline
+
+    landing = tmp_path / "landing"
+    write_goldens(str(landing))
+    out = run_pipeline(spark, spec, str(landing), str(tmp_path / "flow"), rescue=True, buckets=2)
+    silver = {r["transaction_id"]: r for r in silver_current(out["table"], spec).collect()}
+    assert len(silver) == sum(g[2] for g in GOLDENS.values())
+    assert json.loads(silver["ok"]["_rescued_data"]).keys() == {"links", "_file_path"}
+    assert spark.read.parquet(out["quarantine"]).count() == sum(g[3] for g in GOLDENS.values())

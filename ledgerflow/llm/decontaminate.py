@@ -318,6 +318,8 @@ def cut_spans(docs: DataFrame, bench: DataFrame, text_col: str = "text") -> Data
 
     @F.udf("string")
     def cut(data, found):
+        if not found:
+            return None  # such rows keep their text
         keep, at = [], 0
         for s in found:
             keep.append(data[at : s["start"]])

@@ -45,7 +45,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest"
     )
     maybe = rows.where("maybe")
-    together = maybe.join(_groups(maybe), "digest").select(
+    groups = stored(_groups(maybe), "exact-groups")  # a table of its own, so Spark can split a hot digest's side of the join
+    together = maybe.join(groups, "digest").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), "digest"
     )
     return alone.unionByName(together).select(
@@ -64,6 +65,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keys = with_rid(docs.select(F.col(id_col).alias("doc_id"), _digest(text_col).alias("digest")), "rid")
     keys = stored(keys.withColumn("h", F.xxhash64("digest")), "exact-keys")
     maybe = keys.where(repeat_filter(keys.select("h"))("h"))
-    groups = _groups(maybe).where("group_size > 1")
+    groups = stored(_groups(maybe).where("group_size > 1"), "exact-groups")
     dropped = maybe.join(groups, "digest").where(F.col("rid") != F.col("best.rid")).select("rid")
     return remove_rows(docs, stored(dropped, "exact-dropped"))

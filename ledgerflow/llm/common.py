@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerflow.session import work_dir
 
 CHUNK_BYTES = 2 << 20
+ARROW_LIMIT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 #: byte classes of ASCII texts; bytes of 0x80 and more belong to letters
 LOWER = np.arange(256, dtype=np.uint8)
@@ -66,10 +67,22 @@ def fold(key: str, modulus: int) -> Column:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    While it is written, Arrow batches hold at most ``ARROW_BYTES``, so rows with long texts or sets
+    do not add up to a large batch on both sides of a Python task.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_LIMIT, None)
+    spark.conf.set(ARROW_LIMIT, str(ARROW_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_LIMIT)
+        else:
+            spark.conf.set(ARROW_LIMIT, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,12 +10,15 @@ entries of A A' that reach the similarity. The product is never formed whole:
   is below the size-derived bound and is discarded unseen. Equal block rows are met by their digest;
   an empty block row (rare) is paired with all one-deletion variants of the next block, which keeps the
   bound exact without a bucket of unrelated documents.
+* Each set also has a parity vector: one bit per hash value modulo ``PARITY_BITS``, flipped by each n-gram.
+  Two vectors differ in at most as many bits as the sets differ in n-grams, so a pair whose vectors differ
+  in more bits than its sizes allow is discarded before its rows are fetched.
 * For a surviving pair overlap counts accumulate column block by column block; the pair is discarded as
   soon as the n-grams missed exceed what its two sizes allow.
 
-Equal sets are one row from the start. A block row shared by many documents links them to its first
-document; after components are known, only block rows that still hold several components are paired
-off, so a group of copies costs one link each, and no link between different texts is lost.
+Equal sets are one row from the start. Documents are tried with few others of a shared block row first;
+once components are known, only pairs across components are tried, so a large group of copies costs a
+few links each, and no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.bloom import member_filter, remove_rows, with_rid
@@ -34,6 +37,7 @@ from ledgerflow.llm.components import components
 NGRAM = 3
 PERCENT = 90
 VERIFY_BLOCKS = 8
+PARITY_BITS = 512
 
 _WORD = ~byte_class((9, 13), (32, 32))
 
@@ -114,10 +118,22 @@ def block_rows(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Bit vector of the n-grams' count modulo 2 per hash value modulo ``PARITY_BITS``, as longs."""
+    odd = np.bincount((grams % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _near_enough(size_a: str, parity_a: str, size_b: str, parity_b: str, percent: int) -> Column:
+    """False only if two sets surely differ in more n-grams than their sizes allow."""
+    bits = [f"bit_count({parity_a}[{k}] ^ {parity_b}[{k}])" for k in range(PARITY_BITS // 64)]
+    return F.expr(f"{' + '.join(bits)} <= ({size_a} + {size_b}) * {100 - percent} div {100 + percent}")
+
+
 def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), rows (block row digests)."""
+    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity, rows (block row digests)."""
     rows = with_rid(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid").select("rid", "doc_id", "text")
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("rows", pa.list_(pa.int64()))])
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
@@ -135,6 +151,7 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array(k1, np.uint64).view(np.int64)),
                         pa.array(np.array(k2, np.uint64).view(np.int64)),
+                        pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows_])]).astype(np.int32)), pa.array(np.concatenate(rows_))
                         ),
@@ -142,7 +159,7 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     schema=schema,
                 )
 
-    return rows.mapInArrow(run, "rid long, doc_id long, n_shingles long, k1 long, k2 long, rows array<long>")
+    return rows.mapInArrow(run, "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, rows array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -197,11 +214,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    pairs = stored(pairs, "ngram-pairs")
-    wanted = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct(), "ngram-wanted")
-    sets = stored(_sets(docs, wanted, n), "ngram-sets")
-    return stored(_verified(pairs, sets, percent), "ngram-links")
+def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
+    """The shared block rows that still hold several components (columns of ``held`` and root), how many entries
+    they have and how many pairs across components they stand for."""
+    placed = stored(held.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "ngram-placed")
+    parts = placed.groupBy("row", "root").agg(F.count(F.lit(1)).alias("c"))
+    rows = parts.groupBy("row").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
+    rows = stored(rows.where("parts > 1").select("row", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("across")), "ngram-open")
+    entries, across = rows.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("across"), F.lit(0))).first()
+    return placed.join(rows.select("row"), "row", "left_semi"), entries, across
+
+
+def _some_pairs(opened: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each node with the first one of a small pseudo-random part of its block row, another one each turn."""
+    part = F.pmod(F.xxhash64("node", F.lit(turn)), F.greatest((F.col("n") / 4).cast("long"), F.lit(1)))
+    cut = opened.withColumn("part", part)
+    first = stored(cut.groupBy("row", "part").agg(F.min(F.struct("node", "root", "size", "parity")).alias("lead")), "ngram-hubs")
+    pairs = cut.join(first, ["row", "part"]).where("node != lead.node and root != lead.root")
+    pairs = pairs.where(_near_enough("size", "parity", "lead.size", "lead.parity", percent))
+    return pairs.select(F.greatest("node", "lead.node").alias("u"), F.least("node", "lead.node").alias("v")).distinct()
+
+
+def _all_pairs(opened: DataFrame, percent: int) -> DataFrame:
+    """Every pair of nodes that share a block row, are not in one component and may be near enough."""
+    other = opened.select("row", *(F.col(c).alias(f"o_{c}") for c in ("root", "size", "parity")), F.col("node").alias("v"))
+    near = _near_enough("size", "parity", "o_size", "o_parity", percent)
+    pairs = opened.join(other, "row").where(F.expr("v < node and root != o_root") & near)
+    return pairs.select(F.col("node").alias("u"), "v").distinct()
+
+
+def _linked(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n, hub).
+
+    First every node is tried with the smallest node it shares a block row with. Then, while the pairs
+    left across components outnumber the entries and keep falling, each node is tried with one other
+    node per shared row and turn, so families whose members are close to some others only grow
+    together at a cost linear in their size. Last, every pair that is left is tried: the result
+    never depends on the turns.
+    """
+    first = held.where("hub < node").groupBy("node").agg(F.min("hub").alias("hub"))
+    pairs = first.select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    links, turn, last = None, 0, None
+    while True:
+        more = stored(_verified(stored(pairs, "ngram-pairs"), sets, percent), "ngram-links")
+        links = more if links is None else links.unionByName(more)
+        roots = stored(components(links), "ngram-roots")
+        if turn < 0:
+            return roots
+        opened, entries, across = _opened(held, roots)
+        if not across:
+            return roots
+        falling = last is None or across < last * 7 // 10
+        if across > entries and falling:
+            turn, last = turn + 1, across
+            pairs = _some_pairs(opened, turn, percent)
+        else:
+            turn = -1
+            pairs = _all_pairs(opened, percent)
 
 
 def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -218,27 +287,15 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     members = rows.where("n_shingles > 0").select("rid", "doc_id", *key)
     nodes = stored(members.groupBy(*key).agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "ngram-nodes")
 
-    blocks = rows.select("rid", F.explode("rows").alias("row"))
-    shared = stored(blocks.groupBy("row").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("row"), "ngram-shared")
+    blocks = rows.select("rid", F.col("n_shingles").alias("size"), "parity", F.explode("rows").alias("row"))
+    shared = stored(blocks.select("row").groupBy("row").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("row"), "ngram-shared")
     held = blocks.where(member_filter(shared)("row")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-    held = stored(held.select(F.col("rid").alias("node"), "row"), "ngram-held")
-
-    hubs = held.groupBy("row").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-    first = held.join(hubs.select("row", "hub"), "row").where("hub < node").groupBy("node").agg(F.min("hub").alias("hub"))
-    links = _checked(first.select(F.col("node").alias("u"), F.col("hub").alias("v")), docs, n, percent)
-    roots = stored(components(links), "ngram-roots")
-
-    # block rows that still hold several components: every pair across them
-    placed = held.join(roots, "node", "left").select("row", "node", F.coalesce("root", "node").alias("root"))
-    placed = stored(placed, "ngram-placed")
-    open_ = placed.groupBy("row").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("row")
-    open_ = stored(placed.join(open_, "row", "left_semi"), "ngram-open")
-    left = open_.select("row", F.col("node").alias("v"), F.col("root").alias("rv"))
-    across = open_.join(left, "row").where((F.col("v") < F.col("node")) & (F.col("root") != F.col("rv")))
-    across = across.select(F.col("node").alias("u"), "v").distinct()
-    tried = first.select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    more = _checked(across.join(tried, ["u", "v"], "left_anti"), docs, n, percent)
-    roots = stored(components(links.unionByName(more)), "ngram-roots")
+    held = stored(held.withColumnRenamed("rid", "node"), "ngram-held")
+
+    hubs = held.groupBy("row").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = stored(held.join(stored(hubs, "ngram-hubs"), "row"), "ngram-held")
+    sets = stored(_sets(docs, stored(held.select("node").distinct(), "ngram-wanted"), n), "ngram-sets")
+    roots = _linked(held, sets, percent)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -234,6 +234,20 @@ def test_ngram_components_brute_force(spark, tmp_path, percent):
     assert got == brute_components(rows, percent)
 
 
+def test_one_large_family_of_scattered_edits(spark, tmp_path):
+    """Members are near some others only, so the hub alone links few and the turns and the last pass decide."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for _ in range(draw.randrange(6)):
+            own[draw.randrange(150)] = f"e{draw.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(frame(spark, tmp_path, rows)).collect()}
+    assert got == brute_components(rows, 90) and 1 < len({c for _, c in got.values()}) < 150
+
+
 def test_near_copies_keep_smallest(spark, tmp_path):
     base = [f"w{i}" for i in range(100)]
     rows = [(5, " ".join(base)), (3, " ".join(base + ["x"])), (9, " ".join(["y"] + base)), (None, " ".join(base)), (4, "other text is here"), (8, None), (2, "")]

@@ -222,7 +222,7 @@ def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
     rows = parts.groupBy("row").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
     rows = stored(rows.where("parts > 1").select("row", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("across")), "ngram-open")
     entries, across = rows.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("across"), F.lit(0))).first()
-    return placed.join(rows.select("row"), "row", "left_semi"), entries, across
+    return stored(placed.join(rows.select("row"), "row", "left_semi"), "ngram-opened"), entries, across
 
 
 def _some_pairs(opened: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -265,6 +265,7 @@ def _linked(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if not across:
             return roots
         falling = last is None or across < last * 7 // 10
+        held = opened.drop("root")  # rows without a pair across components stay so
         if across > entries and falling:
             turn, last = turn + 1, across
             pairs = _some_pairs(opened, turn, percent)

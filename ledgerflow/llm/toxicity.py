@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ledgerflow.llm.common import Chunk, byte_class, chunks, fold, fresh, ship, segment_sum, substring_hash, text_column, words_of
 
-SAMPLE = 8000
+SAMPLE = 5000
 SAMPLE_CHARS = 65_536
 BUCKETS = 1 << 20
 STEMS = (4, 5, 6, 7, 8, 10)  # bytes of the lower-cased UTF-8 word
@@ -73,21 +73,32 @@ def buckets(words) -> list[np.ndarray]:
     return [(h % np.uint64(BUCKETS)).astype(np.int32) for h in out]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, size: int, chars: int) -> list[tuple[str, int]]:
-    """At most ``size`` (text, label) pairs in pseudo-random order of doc_id, from rows where ``keep`` holds.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, size: int, chars: int) -> list[tuple[str, int, float]]:
+    """(text, label, weight) of at most ``size`` rows in pseudo-random order of doc_id, from rows where ``keep`` holds.
 
-    The sample is bounded on both ends: ``size`` labelled rows (of both classes alike by a hash order),
-    then texts of at most ``chars`` characters.
+    Of the rarer class up to half of the sample is taken; the weights (1 on average over the rarer
+    class's rows) restore the shares that the two classes have among all labelled rows. Texts of more than ``chars``
+    characters are left out of the fit.
     """
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & keep).select("doc_id", F.col(label).alias("y"))
-    chosen = rows.orderBy(F.xxhash64("doc_id", F.lit(label)), "y").limit(size)
-    pairs = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= chars)
-    return [(t, y) for t, y in pairs.select("text", "y").limit(size).toLocalIterator()]
-
-
-def train(pairs: list[tuple[str, int]], steps: int = 360, batch: int = 256, rate: float = 0.05, shrink: float = 2e-4, min_docs: int = MIN_DOCS) -> ToxicModel:
-    """Fit on (text, label); without both classes the model is the constant base rate."""
+    total = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    rarer = min(total, key=total.get) if len(total) == 2 else None
+    take = {y: min(n, size // 2 if y == rarer else size) for y, n in total.items()}
+    if rarer is not None:
+        take[1 - rarer] = min(take[1 - rarer], size - take[rarer])
+    pairs: list[tuple[str, int, float]] = []
+    for y, n in sorted(take.items()):
+        chosen = rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(label))).limit(n).select("doc_id").distinct()
+        texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= chars).select("text")
+        weight = 1.0 if rarer is None else (total[y] / take[y]) / (total[rarer] / take[rarer])
+        pairs += [(r.text, y, weight) for r in texts.limit(n).toLocalIterator()]
+    return pairs
+
+
+def train(pairs: list[tuple], steps: int = 360, batch: int = 256, rate: float = 0.05, shrink: float = 2e-4, min_docs: int = MIN_DOCS) -> ToxicModel:
+    """Fit on (text, label) or (text, label, weight); without both classes the model is the constant base rate."""
     y = np.array([p[1] for p in pairs], dtype=np.float64)
+    weight = np.array([p[2] if len(p) > 2 else 1.0 for p in pairs])
     if not len(y) or y.min() == y.max():
         rate_ = float(y.mean()) if len(y) else 0.0
         return ToxicModel(np.zeros(BUCKETS, np.float32), -30.0 if rate_ < 0.5 else 3.0)
@@ -116,7 +127,7 @@ def train(pairs: list[tuple[str, int]], steps: int = 360, batch: int = 256, rate
             first = np.concatenate([[0], np.cumsum(n_sent)])
             s = np.maximum(segment_sum(soft, first), 1e-9)
             g_s = np.where(y[ids] > 0, -1.0 / np.maximum(np.expm1(np.minimum(s, 50)), 1e-9), 1.0)
-            g_s = np.clip(g_s, -50, 1) / len(ids)
+            g_s = np.clip(g_s, -50, 1) * weight[ids] / weight[ids].sum()
             g_z = np.repeat(g_s, n_sent) * np.exp(z - soft)  # exp(z - log(1 + e^z)) is the sigmoid
             g = np.bincount(h.ravel(), weights=np.repeat(np.repeat(g_z, n_words), h.shape[1]), minlength=BUCKETS)
             g[~usable] = 0

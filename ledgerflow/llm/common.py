@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.session import work_dir
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 ARROW_LIMIT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 #: byte classes of ASCII texts; bytes of 0x80 and more belong to letters

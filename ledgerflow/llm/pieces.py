@@ -30,10 +30,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ledgerflow.llm.common import chunks, ship, text_column
 
 MARK = "▁"
-CACHE_UNITS = 100_000  # encoded units a worker keeps, and as many of the time before
-CACHE_PAIRS = 500_000  # answered compatibility questions a worker keeps
+CACHE_UNITS = 80_000  # encoded units a worker keeps, and as many of the time before
+CACHE_PAIRS = 300_000  # answered compatibility questions a worker keeps
 LONG_UNIT = 200  # longer units are encoded each time
-OUTPUT_BYTES = 4 << 20  # of text taken at a time
+OUTPUT_BYTES = 2 << 20  # of text taken at a time
 
 CLOSING = ".,!?;:|#$%&*"
 

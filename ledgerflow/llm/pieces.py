@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,8 +29,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ledgerflow.llm.common import chunks, ship, text_column
 
 MARK = "▁"
-CACHE_UNITS = 80_000  # encoded units a worker keeps, and as many of the time before
-CACHE_PAIRS = 300_000  # answered compatibility questions a worker keeps
+CACHE_UNITS = 80_000  # encoded units a task keeps, and as many of the time before
+CACHE_PAIRS = 300_000  # answered compatibility questions a task keeps
 LONG_UNIT = 200  # longer units are encoded each time
 OUTPUT_BYTES = 2 << 20  # of text taken at a time
 
@@ -305,17 +304,6 @@ class PieceCoder:
         return n, ids, decoded
 
 
-_CODERS: dict[int, PieceCoder] = {}
-
-
-def _coder(model: dict) -> PieceCoder:
-    """One coder per worker process and model."""
-    if model["key"] not in _CODERS:
-        _CODERS.clear()
-        _CODERS[model["key"]] = PieceCoder(model, model["ids_as_text"])
-    return _CODERS[model["key"]]
-
-
 def tokenize(docs: DataFrame, model_path: str, ids_as_text: bool = False, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_tokens, ids, decoded for every row of ``docs``.
 
@@ -326,8 +314,6 @@ def tokenize(docs: DataFrame, model_path: str, ids_as_text: bool = False, text_c
     spark = docs.sparkSession
     ship(spark)
     model = load_model(model_path)
-    model["ids_as_text"] = ids_as_text
-    model["key"] = zlib.crc32(repr((model["pieces"], ids_as_text)).encode())
     sent = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = to_arrow_type(rows.schema["doc_id"].dataType)
@@ -335,7 +321,7 @@ def tokenize(docs: DataFrame, model_path: str, ids_as_text: bool = False, text_c
     schema = pa.schema([("doc_id", id_type), ("n_tokens", pa.int64()), ("ids", ids_type), ("decoded", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(sent.value)
+        coder = PieceCoder(sent.value, ids_as_text)  # of this task alone: its caches go with the task
         for batch in batches:
             texts = batch.column(1)
             for c in chunks(text_column(batch, "text"), OUTPUT_BYTES):

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators.casts import silver_cast
 from ledgerflow.operators.flatten import bronze_frame
-from ledgerflow.operators.quality import REASON, keep_rejected, keep_valid, tag_failures, to_quarantine
-from ledgerflow.plans.sink import write_quarantine
+from ledgerflow.operators.quality import batch_counts, expect_all_or_drop, rejected_rows, tag_failures, to_quarantine
+from ledgerflow.plans.sink import conform, write_quarantine
 from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs
 from ledgerflow.sources.landing import changed_files, list_files, read_landing
@@ -37,15 +37,18 @@ def silver_view(bronze: DataFrame, spec: TableSpec, cast_check: bool = False) ->
     ``cast_check`` adds one rule per cast column that fails when a non-NULL text
     value became NULL (evaluated on the text before the cast, in the same projection).
     """
-    rules = spec.rule_map
+    casted, rules = casted_view(bronze, spec, cast_check)
+    return tag_failures(casted, rules).drop(*[f"_ok_{c}" for c in spec.cast_map])
+
+
+def casted_view(bronze: DataFrame, spec: TableSpec, cast_check: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """Casted rows and the rules they have to keep (with ``cast_check`` the ``_ok_`` flags stay in the rows)."""
+    rules = dict(spec.rule_map)
     if cast_check:
-        flags = {
-            f"_ok_{c}": F.col(c).isNull() | F.col(c).try_cast(t).isNotNull() for c, t in spec.cast_map.items()
-        }
-        bronze = bronze.withColumns(flags)
-        rules = {**rules, **cast_ok_flags(spec)}
-    tagged = tag_failures(silver_cast(bronze, spec), rules)
-    return tagged.drop(*[f"_ok_{c}" for c in spec.cast_map]) if cast_check else tagged
+        survived = {c: F.col(c).isNull() | F.col(c).try_cast(t).isNotNull() for c, t in spec.cast_map.items()}
+        bronze = bronze.withColumns({f"_ok_{c}": ok for c, ok in survived.items()})
+        rules |= cast_ok_flags(spec)
+    return silver_cast(bronze, spec), rules
 
 
 def silver_table(spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64) -> UpsertTable:
@@ -78,29 +81,30 @@ def process_silver_batch(
     faster at sf0.1), so ``cache_batch`` is off by default; turn it on when the batch
     comes from an expensive upstream. ``compact_every`` folds the log
     into the base after every N-th batch (merge-on-read stays O(state + N batches))."""
-    tagged = silver_view(batch, spec, cast_check)
+    casted, rules = casted_view(batch, spec, cast_check)
+    flags = [f"_ok_{c}" for c in spec.cast_map]
     if cache_batch:
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        casted = casted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rules = {**spec.rule_map, **(cast_ok_flags(spec) if cast_check else {})}
-        counts = [F.count(F.lit(1)).alias("n_input"), F.count_if(F.col(REASON) == "").alias("n_valid")]
-        failed = F.split(F.col(REASON), ", ")
-        counts += [F.count_if(F.array_contains(failed, n)).alias(f"failed_{n}") for n in rules]
-        # The batch metrics ride along the quarantine write (observed before the
-        # rejected-rows filter, so every row is counted): two passes per batch, not three.
-        obs = Observation(f"silver-{writer}-{batch_id}-{uuid.uuid4().hex[:8]}")
-        observed = tagged.observe(obs, *counts)
-        write_quarantine(
-            to_quarantine(keep_rejected(observed), spec.quarantine_exclude),
-            f"{quarantine_path}/writer={writer}/batch_id={batch_id}",
-        )
-        metrics = dict(obs.get)
+        if rules:
+            # The batch metrics ride along the quarantine write (observed before the
+            # rejected-rows filter, so every row is counted): two passes per batch, not three.
+            obs = Observation(f"silver-{writer}-{batch_id}-{uuid.uuid4().hex[:8]}")
+            observed = casted.observe(obs, *batch_counts(rules))
+            write_quarantine(
+                to_quarantine(rejected_rows(observed, rules).drop(*flags), spec.quarantine_exclude),
+                f"{quarantine_path}/writer={writer}/batch_id={batch_id}",
+            )
+            metrics = dict(obs.get)
+        else:  # nothing can be rejected, so there is no write to observe
+            metrics = casted.agg(*batch_counts(rules)).first().asDict()
         if int(metrics["n_input"]) == 0:
             return
         rejected = int(metrics["n_input"]) - int(metrics["n_valid"])
         if rejected > 0:
-            log.warning("[batch %s] %s rows failed expectations → %s", batch_id, rejected, quarantine_path)
-        valid = keep_valid(tagged)
+            log.warning("quarantined writer=%s batch=%s rows=%s path=%s", writer, batch_id, rejected, quarantine_path)
+        valid = expect_all_or_drop(casted, rules).drop(*flags)
+        valid = conform(valid, valid.schema, spec.keys)  # a NULL key fails the batch, it never reaches the table
         if track_actions:
             metrics.update(table.actions(valid).first().asDict())
         table.append(valid, batch_id, writer=writer)
@@ -114,7 +118,7 @@ def process_silver_batch(
             )
     finally:
         if cache_batch:
-            tagged.unpersist(blocking=True)
+            casted.unpersist(blocking=True)
 
 
 def ingest_changed(
@@ -127,7 +131,7 @@ def ingest_changed(
     rescue: bool = False,
     drain: bool = True,
 ) -> int | None:
-    """Batch ingest of new *and re-written* files (same name, new modification time).
+    """Batch ingest of new *and re-written* files (same name, new modification time or length).
 
     Each batch takes at most ``max_files`` changed files (oldest first), so only a
     bounded file list ever reaches the driver to plan the read; ``drain`` repeats
@@ -173,7 +177,8 @@ def run_pipeline(
     *,
     rescue: bool = False,
     bronze_max_files: int | None = 1000,
-    silver_max_files: int | None = None,
+    bronze_max_bytes: str | int | None = None,
+    silver_max_files: int | None = 1000,
     compact_every: int | None = 10,
     buckets: int = 64,
     writer: str | None = None,
@@ -181,7 +186,7 @@ def run_pipeline(
     """The whole flow, drained once: landing → bronze stream → silver stream.
 
     Folders under ``root``: ``bronze``, ``silver``, ``quarantine``, ``metrics`` and the two
-    stream checkpoints. Run it again on the same root to pick up new files only.
+    stream checkpoints. Files or bytes bound a bronze batch, not both. Run it again on the same root to pick up new files only.
     Returns the paths and the silver :class:`UpsertTable`.
     """
     from ledgerflow.streaming.bronze import run_bronze
@@ -189,7 +194,7 @@ def run_pipeline(
 
     root = root.rstrip("/")
     paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "quarantine", "metrics", "_ckpt_bronze", "_ckpt_silver")}
-    run_bronze(spark, landing, paths["bronze"], paths["_ckpt_bronze"], spec, rescue=rescue, max_files=bronze_max_files)
+    run_bronze(spark, landing, paths["bronze"], paths["_ckpt_bronze"], spec, rescue=rescue, max_files=bronze_max_files, max_bytes=bronze_max_bytes)
     table = silver_table(spark, paths["silver"], spec, buckets=buckets)
     run_silver(
         spark, paths["bronze"], table, paths["quarantine"], paths["_ckpt_silver"], spec,

@@ -52,6 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -95,16 +97,25 @@ class Fs:
         return sorted(s.getPath().getName() for s in self._fs(p).listStatus(self._path(p)))
 
     def write_text(self, p: str, text: str, overwrite: bool = False) -> bool:
-        """Create a small file; with ``overwrite=False`` returns False if it already exists."""
+        """Create a small file by rename, so a reader sees it whole or not at all; with
+        ``overwrite=False`` returns False if it already exists."""
         fs = self._fs(p)
         path = self._path(p)
         if not overwrite and fs.exists(path):
             return False
-        out = fs.create(path, overwrite)
+        folder, _, name = p.rpartition("/")
+        part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        fs.mkdirs(self._path(folder))
+        out = fs.create(self._path(part), True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if overwrite and fs.exists(path):
+            fs.delete(path, False)
+        if not self.rename(part, p):
+            fs.delete(self._path(part), False)
+            return False
         return True
 
     def read_text(self, p: str) -> str:

@@ -12,7 +12,7 @@ Two paths produce the same per-document frame
 
 Overwritten files are handled by :func:`changed_files`: a distributed listing
 (``binaryFile`` without the content column) anti-joined to a manifest of
-(path, modification time) already ingested.
+(path, modification time, length) already ingested.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 from ledgerflow.spec import SOURCE_FILE, TableSpec
 
 CORRUPT = "_corrupt_record"
+#: the file stream's own default drops files a week older than the newest one seen; late files must count
+NO_AGE_LIMIT = "36500d"
 _MAP = MapType(StringType(), StringType())
 
 
@@ -42,7 +44,9 @@ def _reader(spark: SparkSession, fmt: str, stream: bool, glob: str, max_files, m
     r = (spark.readStream if stream else spark.read).format(fmt)
     r = r.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if stream:
-        # Admission control: either bound works on the file source; files are the stronger guarantee.
+        if max_files is not None and max_bytes is not None:
+            raise ValueError("the file source honours one bound per batch: give max_files or max_bytes")
+        r = r.option("maxFileAge", NO_AGE_LIMIT)
         if max_files is not None:
             r = r.option("maxFilesPerTrigger", int(max_files))
         elif max_bytes is not None:
@@ -85,7 +89,7 @@ def _read_rescue(spark, paths, spec: TableSpec, stream, glob, max_files, max_byt
     doc_schema = spec.read_schema
     with_corrupt = StructType(doc_schema.fields + [StructField(CORRUPT, StringType(), True)])
     opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    is_array = F.ltrim(F.col("value")).startswith("[")
+    is_array = F.col("value").rlike(r"^\s*\[")
     typed = F.when(is_array, F.from_json("value", ArrayType(with_corrupt), opts)).otherwise(
         F.array(F.from_json("value", with_corrupt, opts))
     )
@@ -96,7 +100,9 @@ def _read_rescue(spark, paths, spec: TableSpec, stream, glob, max_files, max_byt
         "value",
         SOURCE_FILE,
         F.arrays_zip(typed.alias("doc"), maps.alias("raw")).alias("_docs"),
-    ).select("value", SOURCE_FILE, F.explode_outer("_docs").alias("_d"))
+    )
+    docs = docs.where(~(is_array & (F.coalesce(F.size("_docs"), F.lit(-1)) == 0)))  # an empty list has no rows, as on the fast path
+    docs = docs.select("value", SOURCE_FILE, F.explode_outer("_docs").alias("_d"))
 
     known_doc = [f.name for f in doc_schema.fields] + list(spec.ignore_unknown)
     item_type = doc_schema[spec.items].dataType.elementType
@@ -132,7 +138,7 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
 
 
 def changed_files(spark: SparkSession, listing: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """Files never seen, or seen with another modification time (re-written in place)."""
+    """Files never seen, or seen with another modification time or length (re-written in place)."""
     if manifest is None:
         return listing
-    return listing.join(manifest.select("path", "mtime"), ["path", "mtime"], "left_anti")
+    return listing.join(manifest.select("path", "mtime", "length"), ["path", "mtime", "length"], "left_anti")

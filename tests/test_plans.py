@@ -52,3 +52,13 @@ def test_current_broadcasts_small_log(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan(big.current())
     n = latest_per_key(ev, ["user_id", "event_type"], ["ts", "event_id"]).count()
     assert big.current().count() == t.current().count() == n
+
+
+def test_rules_reach_the_scan(spark, tmp_path):
+    from ledgerflow.operators.quality import expect_all_or_drop
+
+    spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "k string, v int").write.parquet(str(tmp_path / "t"))
+    df = expect_all_or_drop(spark.read.parquet(str(tmp_path / "t")), {"key": "k <> ''", "key_known": "k IS NOT NULL", "value": "v < 3"})
+    assert [r.v for r in df.collect()] == [1]
+    pushed = [line for line in df._jdf.queryExecution().toString().splitlines() if "PushedFilters" in line]
+    assert pushed and "IsNotNull(k)" in pushed[0] and "LessThan(v,3)" in pushed[0]

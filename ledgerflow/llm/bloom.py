@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import fresh, mix64, ship
+from ledgerflow.llm.common import fresh, lean, mix64, ship
 
 CELLS_PER_ROW = 16
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 28
@@ -74,7 +74,7 @@ def bloom_bits(hashes: DataFrame, cells: int, again_only: bool) -> np.ndarray:
                 seen[s] = True
         yield pa.RecordBatch.from_pydict({"k": [key[0].as_py()], "bits": [np.packbits(again if again_only else seen).tobytes()]}, schema=_MERGED)
 
-    merged = hashes.mapInArrow(count, "k int, seen binary, again binary").groupBy("k").applyInArrow(merge, "k int, bits binary")
+    merged = hashes.mapInArrow(lean(count), "k int, seen binary, again binary").groupBy("k").applyInArrow(merge, "k int, bits binary")
     bits = np.zeros(cells // 8, np.uint8)
     for k, again in merged.toLocalIterator():  # cells / 8 bytes in all, at most MAX_CELLS / 8
         bits[k * (seg // 8) : (k + 1) * (seg // 8)] = np.frombuffer(again, np.uint8)

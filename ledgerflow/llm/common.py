@@ -86,6 +86,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(task):
+    """An Arrow task that hands unused memory back after each batch: Spark keeps Python workers for the
+    next stages, and what they hold counts against the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in task(batches):
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 @dataclass
 class Chunk:
     """``n`` whole documents from row ``first`` of a batch, as one byte array."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerflow.llm.bloom import remove_rows, with_rid
-from ledgerflow.llm.common import Chunk, byte_class, chunks, fresh, ship, spans_of, stored, text_column, words_of
+from ledgerflow.llm.common import Chunk, byte_class, chunks, fresh, lean, ship, spans_of, stored, text_column, words_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -256,7 +256,7 @@ def _search(rows: DataFrame, win: Windows) -> DataFrame:
             )
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"rid long, doc_id {kind}, n_words long, n_hit long, items array<string>, spans {_SPANS}")
+    return rows.mapInArrow(lean(run), f"rid long, doc_id {kind}, n_words long, n_hit long, items array<string>, spans {_SPANS}")
 
 
 def contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

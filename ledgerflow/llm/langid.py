@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import LOWER, Chunk, byte_class, chunks, fold, ship, text_column
+from ledgerflow.llm.common import LOWER, Chunk, byte_class, chunks, fold, lean, ship, text_column
 
 SAMPLE = 2000
 SAMPLE_CHARS = 32_768
@@ -203,7 +203,7 @@ def predict(docs: DataFrame, model: LangModel) -> DataFrame:
 
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long"), "text", letters.alias("letters"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, accepted boolean")
+    return rows.mapInArrow(lean(run), "doc_id long, lang_pred string, score double, accepted boolean")
 
 
 def language(docs: DataFrame, size: int = SAMPLE) -> DataFrame:

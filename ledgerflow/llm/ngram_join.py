@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.bloom import member_filter, remove_rows, with_rid
-from ledgerflow.llm.common import Chunk, byte_class, chunks, mix64, ship, stored, text_column, words_of
+from ledgerflow.llm.common import Chunk, byte_class, chunks, lean, mix64, ship, stored, text_column, words_of
 from ledgerflow.llm.components import components
 
 NGRAM = 3
@@ -159,23 +159,24 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     schema=schema,
                 )
 
-    return rows.mapInArrow(run, "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, rows array<long>")
+    return rows.mapInArrow(lean(run), "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, rows array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, grams) for the row numbers in ``wanted`` (column node): sorted distinct n-gram hashes."""
     rows = with_rid(docs.select("text"), "node").select("node", "text")
-    rows = rows.where(member_filter(wanted)("node"))
+    maybe = member_filter(wanted).plain
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(maybe(batch.column(0).to_numpy().view(np.uint64))))
             for c in chunks(text_column(batch, "text")):
                 grams = [s.view(np.int64) for s in ngram_sets(c, n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(c.first, c.n), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"]
                 )
 
-    return rows.mapInArrow(run, "node long, grams array<long>").join(wanted, "node", "left_semi")
+    return rows.mapInArrow(lean(run), "node long, grams array<long>").join(wanted, "node", "left_semi")
 
 
 def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -211,7 +212,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(lean(run), "u long, v long")
 
 
 def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:

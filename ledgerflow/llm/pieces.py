@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerflow.llm.common import chunks, ship, text_column
+from ledgerflow.llm.common import chunks, lean, ship, text_column
 
 MARK = "▁"
 CACHE_UNITS = 80_000  # encoded units a task keeps, and as many of the time before
@@ -328,4 +328,4 @@ def tokenize(docs: DataFrame, model_path: str, ids_as_text: bool = False, text_c
                 n, ids, decoded = coder.encode_all(texts.slice(c.first, c.n))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.first, c.n), pa.array(n), ids.cast(ids_type), decoded], schema=schema)
 
-    return rows.mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, n_tokens long, ids {'string' if ids_as_text else 'array<int>'}, decoded string")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.dtypes[0][1]}, n_tokens long, ids {'string' if ids_as_text else 'array<int>'}, decoded string")

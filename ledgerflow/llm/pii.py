@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import fresh, ship, text_column
+from ledgerflow.llm.common import fresh, lean, ship, text_column
 
 ROUNDS = 8
 #: the days a date may become, both ends included
@@ -291,4 +291,4 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", back: bool
             columns[at] = new.cast(batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([*columns, places], names=[*batch.schema.names, found_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(found_col, _FOUND)]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField(found_col, _FOUND)]))

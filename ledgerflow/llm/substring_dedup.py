@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerflow.llm.bloom import member_filter, take_rows, with_rid
-from ledgerflow.llm.common import Chunk, chunks, inverse_powers, mix64, prefix_sums, ship, spans_of, stored, text_column
+from ledgerflow.llm.common import Chunk, chunks, inverse_powers, lean, mix64, prefix_sums, ship, spans_of, stored, text_column
 
 LENGTH = 400
 GROUP_MAX = 512
@@ -84,7 +84,7 @@ def _grams(rows: DataFrame, length: int) -> DataFrame:
                 gram = anchor_runs(c, length)[4]
                 yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], names=["gram"])
 
-    return rows.select("text").mapInArrow(run, "gram long")
+    return rows.select("text").mapInArrow(lean(run), "gram long")
 
 
 _RUN = "rid long, gram long, c1 long, c2 long, start long, windows int"
@@ -119,7 +119,7 @@ def _runs(rows: DataFrame, maybe: tuple, length: int) -> DataFrame:
                     schema=_RUN_SCHEMA,
                 )
 
-    return rows.mapInArrow(run, _RUN)
+    return rows.mapInArrow(lean(run), _RUN)
 
 
 class Level:
@@ -280,7 +280,7 @@ def _by_family(texts: DataFrame, length: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    return texts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, _FOUND)
+    return texts.repartition("gram").sortWithinPartitions("gram").mapInArrow(lean(run), _FOUND)
 
 
 def _by_digest(texts: DataFrame, length: int) -> DataFrame:
@@ -298,7 +298,7 @@ def _by_digest(texts: DataFrame, length: int) -> DataFrame:
                     names=["c1", "c2", "at", "w1", "w2"],
                 )
 
-    windows = stored(texts.mapInArrow(run, "c1 long, c2 long, at int, w1 long, w2 long"), "substring-windows")
+    windows = stored(texts.mapInArrow(lean(run), "c1 long, c2 long, at int, w1 long, w2 long"), "substring-windows")
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     hit = windows.join(twice, ["w1", "w2"], "left_semi")
     place = F.struct(F.col("at").alias("first"), (F.col("at") + 1).alias("end"))
@@ -359,7 +359,7 @@ def _kept(rows: DataFrame) -> DataFrame:
             columns = [pa.array([o[i] for o in out], schema.field(i + 1).type) for i in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
-    return rows.select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {rows.dtypes[0][1]}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.select("doc_id", "text", "spans").mapInArrow(lean(run), f"doc_id {rows.dtypes[0][1]}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:

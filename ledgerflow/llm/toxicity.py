@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.llm.common import Chunk, byte_class, chunks, fold, fresh, ship, segment_sum, substring_hash, text_column, words_of
+from ledgerflow.llm.common import Chunk, byte_class, chunks, fold, fresh, lean, segment_sum, ship, substring_hash, text_column, words_of
 
 SAMPLE = 5000
 SAMPLE_CHARS = 65_536
@@ -159,7 +159,7 @@ def with_score(docs: DataFrame, model: ToxicModel, score: str, text_col: str = "
             col = pa.array(np.clip(np.concatenate(parts), 0.0, 1.0) if parts else np.zeros(0))
             yield pa.RecordBatch.from_arrays(batch.columns + [col], names=batch.schema.names + [score])
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(score, T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType(docs.schema.fields + [T.StructField(score, T.DoubleType())]))
 
 
 def offending(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> DataFrame:
@@ -189,7 +189,7 @@ def offending(docs: DataFrame, model: ToxicModel, threshold: float = 0.5) -> Dat
                     schema=schema,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, end long, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), "doc_id long, start long, end long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.dates import month_text
 from ledgerflow.operators.casts import safe_date
+from ledgerflow.sources.landing import unknown_fields, variant_field
 from ledgerflow.spec import INGESTION_DATE, INGESTION_TS, ITEM_POS, RESCUED, SOURCE_FILE, TableSpec
 
 
@@ -27,19 +29,16 @@ def explode_items(df: DataFrame, array_col: str, item: str = "_item", pos: str =
     return df.select(*others, F.posexplode_outer(array_col).alias(pos, item))
 
 
-def project_paths(item: Column, fields: list[tuple[str, str]] | tuple) -> list[Column]:
-    """Dotted item paths → flat aliased columns."""
-    out = []
-    for path, name in fields:
-        c = item
-        for part in path.split("."):
-            c = c.getField(part)
-        out.append(c.alias(name))
-    return out
+def item_path(item: Column, path: str) -> Column:
+    """Dotted path inside a typed item."""
+    for part in path.split("."):
+        item = item.getField(part)
+    return item
 
 
-def month_text(date_col: Column) -> Column:
-    return F.date_format(date_col, "yyyy-MM")
+def project_paths(item: Column, fields: list[tuple[str, str]] | tuple, get=item_path) -> list[Column]:
+    """Dotted item paths → flat aliased columns."""
+    return [get(item, path).alias(name) for path, name in fields]
 
 
 def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFrame:
@@ -56,60 +55,49 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
             SOURCE_FILE, INGESTION_TS, INGESTION_DATE, F.posexplode_outer(spec.items).alias(ITEM_POS, "_item")
         )
         item = F.col("_item")
-        rescued = F.lit(None).cast("string")
+        rescued, get = F.lit(None).cast("string"), item_path
     else:
         exploded, item, rescued = _explode_rescued(docs, spec)
-    cols = project_paths(item, spec.fields)
+        get = variant_field
+    cols = project_paths(item, spec.fields, get)
+    path_of = {c: p for p, c in spec.fields}
     by_name = {c: col for c, col in zip(spec.business_columns, cols)}
     for d in spec.date_columns:
-        by_name[d] = safe_date(item_path(item, spec, d)).alias(d)
+        by_name[d] = safe_date(get(item, path_of[d])).alias(d)
     select = [by_name[c] for c in spec.business_columns]
     select += [F.col(SOURCE_FILE), F.col(INGESTION_TS), F.col(INGESTION_DATE), rescued.alias(RESCUED)]
     for month_col, date_col in spec.month_columns:
-        select.append(month_text(safe_date(item_path(item, spec, date_col))).alias(month_col))
+        select.append(month_text(safe_date(get(item, path_of[date_col]))).alias(month_col))
     select.append(F.col(ITEM_POS))
     return exploded.select(*select)
 
 
 def _explode_rescued(docs: DataFrame, spec: TableSpec):
-    """Rescue path: zip typed items with their raw maps, explode, and build ``_rescued_data``."""
-    typed = F.col(spec.items)
-    # fall back to the typed array alone when the raw side is missing (unparsable raw)
-    zipped = F.coalesce(
-        F.arrays_zip(typed.alias("t"), F.col("_raw_items").alias("r")),
-        F.transform(typed, lambda x: F.struct(x.alias("t"), F.lit(None).cast("map<string,string>").alias("r"))),
-    )
+    """Rescue path: explode the VARIANT items and build ``_rescued_data``.
+
+    Unknown item fields come first, then those of the document (repeated on each of its rows), then the
+    file. A name taken by an earlier one of these is written ``$.name``, so nothing is lost to a clash.
+    """
     exploded = docs.select(
-        SOURCE_FILE,
-        INGESTION_TS,
-        INGESTION_DATE,
-        "_doc_rescue",
-        "_doc_unknown",
-        F.posexplode_outer(zipped).alias(ITEM_POS, "_z"),
-    )
-    item = F.col("_z.t")
-    item_unknown = F.coalesce(F.col("_z.r"), F.create_map().cast("map<string,string>"))
-    doc_unknown = F.col("_doc_unknown")
-    # Raw text of an unreadable document; else JSON of the unknown item and document
-    # fields (item wins on a name clash) plus the file they came from.
-    merged = F.map_concat(
-        item_unknown,
-        F.map_filter(
-            F.coalesce(doc_unknown, F.create_map().cast("map<string,string>")),
-            lambda k, v: ~F.map_contains_key(item_unknown, k),
-        ),
+        SOURCE_FILE, INGESTION_TS, INGESTION_DATE, "_doc_rescue", "_doc_unknown", F.posexplode_outer("_raw_items").alias(ITEM_POS, "_item")
     )
-    rescued = (
-        F.when(F.col("_doc_rescue").isNotNull(), F.col("_doc_rescue"))
-        .when(F.size(merged) > 0, F.to_json(F.map_concat(merged, F.create_map(F.lit("_file_path"), F.col(SOURCE_FILE)))))
-        .otherwise(F.lit(None).cast("string"))
+    item, file_path = F.col("_item"), F.lit("_file_path")
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    own = F.coalesce(unknown_fields(item, spec.read_schema[spec.items].dataType.elementType, spec.ignore_unknown), none)
+    exploded = exploded.withColumn("_own", own)
+    own = F.col("_own")
+    names = F.array_append(F.transform(own, lambda e: e["key"]), file_path)
+
+    def renamed(e, clash):
+        return F.struct(F.when(clash, F.concat(F.lit("$."), e["key"])).otherwise(e["key"]).alias("key"), e["value"].alias("value"))
+
+    entries = F.concat(
+        F.transform(own, lambda e: renamed(e, e["key"] == file_path)),
+        F.transform(F.coalesce("_doc_unknown", none), lambda e: renamed(e, F.array_contains(names, e["key"]))),
+        F.array(F.struct(file_path.alias("key"), F.col(SOURCE_FILE).alias("value"))),
     )
+    # one object per entry, joined as text: a map would fail on a repeated name
+    bodies = F.transform(entries, lambda e: F.regexp_replace(F.to_json(F.create_map(e["key"], e["value"])), r"^\{|\}$", ""))
+    found = (F.size(own) > 0) | (F.size(F.coalesce("_doc_unknown", none)) > 0)
+    rescued = F.coalesce(F.col("_doc_rescue"), F.when(found, F.concat(F.lit("{"), F.array_join(bodies, ","), F.lit("}"))))
     return exploded, item, rescued
-
-
-def item_path(item: Column, spec: TableSpec, column: str) -> Column:
-    path = dict((c, p) for p, c in spec.fields)[column]
-    c = item
-    for part in path.split("."):
-        c = c.getField(part)
-    return c

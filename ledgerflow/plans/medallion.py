@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 
 from pyspark import StorageLevel
@@ -15,7 +16,7 @@ from ledgerflow.operators.quality import batch_counts, expect_all_or_drop, rejec
 from ledgerflow.plans.sink import conform, write_quarantine
 from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs
-from ledgerflow.sources.landing import changed_files, list_files, read_landing
+from ledgerflow.sources.landing import changed_files, list_files, parse_size, read_landing
 from ledgerflow.spec import TableSpec
 
 log = logging.getLogger("ledgerflow.silver")
@@ -130,43 +131,57 @@ def ingest_changed(
     max_files: int = 1000,
     rescue: bool = False,
     drain: bool = True,
+    max_bytes: str | int | None = None,
 ) -> int | None:
     """Batch ingest of new *and re-written* files (same name, new modification time or length).
 
-    Each batch takes at most ``max_files`` changed files (oldest first), so only a
-    bounded file list ever reaches the driver to plan the read; ``drain`` repeats
-    until nothing is left (``availableNow`` semantics). Returns the last batch id
-    written, or None when nothing changed. A batch id is the number of committed
-    manifest batches, so a crashed run is redone under the same id and its bronze
-    folder overwritten (idempotent).
+    The folder is listed once per call; the changed files are stored in arrival order, at most
+    ``max_files`` to a list file, and read list by list, so the driver holds one bounded list of
+    paths. ``max_bytes`` cuts a list further (at least one file a batch); both bounds hold. With
+    ``drain`` off one batch is read. Returns the last batch id written, or None when nothing
+    changed. A batch id is the number of committed manifest batches, so a crashed run is redone
+    under the same id and its bronze folder overwritten (idempotent).
     """
+    fs = Fs(spark)
+    done = [int(d.split("=")[1]) for d in fs.ls(manifest_path) if d.startswith("batch_id=") and fs.exists(f"{manifest_path}/{d}/_SUCCESS")]
+    manifest = spark.read.schema(_MANIFEST).parquet(manifest_path) if done else None
+    batch_id = max(done, default=-1)
+    plan = f"{manifest_path}/_plan"  # the leading underscore hides it from readers of the manifest
+    changed = changed_files(spark, list_files(spark, landing), manifest).orderBy("mtime", "path")
+    changed.write.mode("overwrite").option("maxRecordsPerFile", int(max_files)).parquet(plan)
+    lists = sorted((f for f in fs.ls(plan) if f.startswith("part-")), key=_list_order)
     last = None
-    while True:
-        b = _ingest_changed_once(spark, landing, bronze_path, manifest_path, spec, max_files, rescue)
-        if b is None:
-            return last
-        last = b
-        if not drain:
-            return last
+    for name in lists:
+        files = spark.read.schema(_MANIFEST).parquet(f"{plan}/{name}").orderBy("mtime", "path").collect()
+        for part in _cut_by_bytes(files, parse_size(max_bytes)):
+            batch_id += 1
+            bronze_batch(spark, [r["path"] for r in part], spec, rescue=rescue).write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
+            # one file, so that the batch is in the manifest wholly or not at all
+            spark.createDataFrame([tuple(r) for r in part], _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{manifest_path}/batch_id={batch_id}")
+            last = batch_id
+            if not drain:
+                return last
+    return last
 
 
-def _ingest_changed_once(spark, landing, bronze_path, manifest_path, spec, max_files, rescue) -> int | None:
-    fs = Fs(spark)
-    done = sorted(int(d.split("=")[1]) for d in fs.ls(manifest_path) if d.startswith("batch_id="))
-    done = [b for b in done if fs.exists(f"{manifest_path}/batch_id={b}/_SUCCESS")]
-    manifest = spark.read.parquet(*[f"{manifest_path}/batch_id={b}" for b in done]) if done else None
-    todo = changed_files(spark, list_files(spark, landing), manifest).orderBy("mtime", "path")
-    files = todo.limit(int(max_files)).collect()  # admission control: one bounded batch of paths
-    if not files:
-        return None
-    batch_id = (max(done) + 1) if done else 0
-    paths = [r["path"] for r in files]
-    bronze = bronze_batch(spark, paths, spec, rescue=rescue)
-    bronze.write.mode("overwrite").parquet(f"{bronze_path}/batch_id={batch_id}")
-    spark.createDataFrame(
-        [(r["path"], r["mtime"], r["length"]) for r in files], "path string, mtime timestamp, length long"
-    ).write.mode("overwrite").parquet(f"{manifest_path}/batch_id={batch_id}")
-    return batch_id
+_MANIFEST = "path string, mtime timestamp, length long"
+
+
+def _list_order(name: str) -> tuple[int, int]:
+    """Task and file number of ``part-<task>-<uuid>-c<file>…``, the sorted order of the rows."""
+    task, file = re.match(r"part-(\d+)-.*?-c(\d+)", name).groups()
+    return int(task), int(file)
+
+
+def _cut_by_bytes(files: list, bound: int | None) -> list[list]:
+    parts, size = [], 0
+    for r in files:
+        if not parts or (bound is not None and size + r["length"] > bound):
+            parts.append([])
+            size = 0
+        parts[-1].append(r)
+        size += r["length"]
+    return parts
 
 
 def run_pipeline(
@@ -175,7 +190,8 @@ def run_pipeline(
     landing: str,
     root: str,
     *,
-    rescue: bool = False,
+    rescue: bool = True,
+    overwrites: bool = True,
     bronze_max_files: int | None = 1000,
     bronze_max_bytes: str | int | None = None,
     silver_max_files: int | None = 1000,
@@ -183,18 +199,31 @@ def run_pipeline(
     buckets: int = 64,
     writer: str | None = None,
 ) -> dict:
-    """The whole flow, drained once: landing → bronze stream → silver stream.
+    """The whole flow, drained once: landing → bronze → silver stream.
 
-    Folders under ``root``: ``bronze``, ``silver``, ``quarantine``, ``metrics`` and the two
-    stream checkpoints. Files or bytes bound a bronze batch, not both. Run it again on the same root to pick up new files only.
+    Folders under ``root``: ``bronze``, ``silver``, ``quarantine``, ``metrics``, the manifest of ingested
+    files and the stream checkpoints. Run it again on the same root to pick up new files, and with
+    ``overwrites`` re-written ones too (by manifest, both bounds of a batch hold). Without it bronze is
+    Spark's file stream, which knows a file by its path and takes files or bytes as bound, not both.
+    A root keeps the form it began with.
     Returns the paths and the silver :class:`UpsertTable`.
     """
     from ledgerflow.streaming.bronze import run_bronze
     from ledgerflow.streaming.silver import run_silver
 
     root = root.rstrip("/")
-    paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "quarantine", "metrics", "_ckpt_bronze", "_ckpt_silver")}
-    run_bronze(spark, landing, paths["bronze"], paths["_ckpt_bronze"], spec, rescue=rescue, max_files=bronze_max_files, max_bytes=bronze_max_bytes)
+    paths = {k: f"{root}/{k}" for k in ("bronze", "silver", "quarantine", "metrics", "_ckpt_bronze", "_ckpt_silver", "_manifest")}
+    fs = Fs(spark)
+    if fs.exists(paths["_ckpt_bronze" if overwrites else "_manifest"]):
+        raise ValueError(f"{root} was begun with overwrites={not overwrites}")
+    if overwrites:
+        ingest_changed(
+            spark, landing, paths["bronze"], paths["_manifest"], spec,
+            max_files=bronze_max_files or 1000, rescue=rescue, max_bytes=bronze_max_bytes,
+        )
+        fs.mkdirs(paths["bronze"])  # nothing landed yet: the silver stream still needs its folder
+    else:
+        run_bronze(spark, landing, paths["bronze"], paths["_ckpt_bronze"], spec, rescue=rescue, max_files=bronze_max_files, max_bytes=bronze_max_bytes)
     table = silver_table(spark, paths["silver"], spec, buckets=buckets)
     run_silver(
         spark, paths["bronze"], table, paths["quarantine"], paths["_ckpt_silver"], spec,

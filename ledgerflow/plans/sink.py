@@ -27,16 +27,19 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def clustered(df: DataFrame, cols, partitions: int | None = None) -> DataFrame:
+def clustered(df: DataFrame, cols, partitions: int | None = None, spread=()) -> DataFrame:
     """Range-partition and sort by the clustering columns so parquet row-group min/max
-    statistics skip data for filters on them (the layout a CLUSTER BY table keeps)."""
-    cols = list(cols)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    statistics skip data for filters on them (the layout a CLUSTER BY table keeps).
 
+    ``spread`` columns (a key) extend the range key, so rows of one hot clustering value fall
+    into several partitions. Without ``partitions`` Spark merges small ones by their size."""
+    order = [*cols, *(c for c in spread if c not in cols)]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
-def write_clustered(df: DataFrame, path: str, cols, partitions: int | None = None, mode: str = "overwrite") -> None:
-    clustered(df, cols, partitions).write.mode(mode).parquet(path)
+
+def write_clustered(df: DataFrame, path: str, cols, partitions: int | None = None, mode: str = "overwrite", spread=()) -> None:
+    clustered(df, cols, partitions, spread).write.mode(mode).parquet(path)
 
 
 def write_quarantine(q: DataFrame, path: str) -> None:

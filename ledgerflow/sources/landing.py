@@ -1,14 +1,13 @@
 """Landing source: JSON documents in files, read incrementally.
 
-Two paths produce the same per-document frame
-``(<read_schema fields>, source_file, _doc_rescue, _raw_items)``:
+Two paths lead to the same bronze rows:
 
-* fast path — Spark's JSON source with the explicit schema; nothing is rescued
-  (the frame has no ``_doc_rescue`` / ``_raw_items`` columns);
-* rescue path — whole files as text, parsed twice on the JVM: once typed by the
-  schema and once as string maps, so fields the schema does not know are kept
-  (per document in ``_doc_unknown``, per array item in ``_raw_items``) instead of
-  being dropped silently. A document that does not parse keeps its raw text.
+* fast path — Spark's JSON source with the explicit schema; nothing is rescued;
+* rescue path — whole files as text, parsed once into VARIANT, from which the typed
+  values and the fields the schema does not know are both taken: frame ``(source_file,
+  _doc_rescue, _doc_unknown, _raw_items)``. A field of another kind than the schema's is
+  rescued by itself; only a document that does not parse keeps its raw text (one row).
+  A JSON number becomes its shortest text (``1.50`` reads ``1.5``).
 
 Overwritten files are handled by :func:`changed_files`: a distributed listing
 (``binaryFile`` without the content column) anti-joined to a manifest of
@@ -19,14 +18,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ledgerflow.spec import SOURCE_FILE, TableSpec
 
-CORRUPT = "_corrupt_record"
 #: the file stream's own default drops files a week older than the newest one seen; late files must count
 NO_AGE_LIMIT = "36500d"
-_MAP = MapType(StringType(), StringType())
 
 
 def parse_size(value: str | int | None) -> int | None:
@@ -76,53 +73,58 @@ def read_landing(
     return df.select(*[F.col(f.name) for f in spec.read_schema.fields], F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def _unknown(m: Column, known: list[str]) -> Column:
-    known_arr = F.array(*[F.lit(k) for k in known]) if known else F.array().cast(ArrayType(StringType()))
-    return F.map_filter(m, lambda k, v: ~F.array_contains(known_arr, k))
+def variant_field(value: Column, path: str) -> Column:
+    """Text of one field of a VARIANT (NULL where the path leads nowhere)."""
+    return F.try_variant_get(value, f"$.{path}", "string")
+
+
+def unknown_fields(value: Column, schema: StructType, ignore: tuple[str, ...] = (), prefix: str = "") -> Column:
+    """``array<struct<key, value>>`` of what ``schema`` does not take from a VARIANT object.
+
+    These are fields it does not name, at every level of nested structs (key ``outer.inner``), and fields
+    that hold another kind of value than the struct or list it names.
+    """
+    none = F.array().cast("array<struct<key:string,value:string>>")
+
+    def entry(key: Column, v: Column) -> Column:
+        return F.struct(F.concat(F.lit(prefix), key).alias("key"), F.try_variant_get(v, "$", "string").alias("value"))
+
+    known = [f.name for f in schema.fields] + list(ignore)
+    every = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    parts = [F.transform(F.filter(every, lambda e: ~e["key"].isin(known)), lambda e: entry(e["key"], e["value"]))]
+    for f in schema.fields:
+        if not isinstance(f.dataType, (StructType, ArrayType)):
+            continue
+        own = F.try_variant_get(value, f"$.{f.name}", "variant")
+        shape = "map<string,variant>" if isinstance(f.dataType, StructType) else "array<variant>"
+        misfit = ~F.is_variant_null(own) & F.try_variant_get(own, "$", shape).isNull()
+        parts.append(F.when(own.isNotNull() & misfit, F.array(entry(F.lit(f.name), own))))
+        if isinstance(f.dataType, StructType):
+            parts.append(unknown_fields(own, f.dataType, prefix=f"{prefix}{f.name}."))
+    return F.concat(*[F.coalesce(p, none) for p in parts])
 
 
 def _read_rescue(spark, paths, spec: TableSpec, stream, glob, max_files, max_bytes) -> DataFrame:
+    # a repeated name inside an object is legal JSON: the last one counts, as in Spark's JSON source
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     r = _reader(spark, "text", stream, glob, max_files, max_bytes).option("wholetext", "true")
     raw = (r.load(paths[0]) if stream else r.load(paths)).select(
-        F.col("value"), F.col("_metadata.file_path").alias(SOURCE_FILE)
-    )
-    doc_schema = spec.read_schema
-    with_corrupt = StructType(doc_schema.fields + [StructField(CORRUPT, StringType(), True)])
-    opts = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
-    is_array = F.col("value").rlike(r"^\s*\[")
-    typed = F.when(is_array, F.from_json("value", ArrayType(with_corrupt), opts)).otherwise(
-        F.array(F.from_json("value", with_corrupt, opts))
-    )
-    maps = F.when(is_array, F.from_json("value", ArrayType(_MAP), opts)).otherwise(
-        F.array(F.from_json("value", _MAP, opts))
+        F.col("value"), F.col("_metadata.file_path").alias(SOURCE_FILE), F.try_parse_json("value").alias("_json")
     )
+    raw = raw.where(F.col("value").rlike(r"\S"))  # a blank file holds no document, as on the fast path
+    listed = F.try_variant_get(F.col("_json"), "$", "array<variant>")
     docs = raw.select(
-        "value",
         SOURCE_FILE,
-        F.arrays_zip(typed.alias("doc"), maps.alias("raw")).alias("_docs"),
-    )
-    docs = docs.where(~(is_array & (F.coalesce(F.size("_docs"), F.lit(-1)) == 0)))  # an empty list has no rows, as on the fast path
-    docs = docs.select("value", SOURCE_FILE, F.explode_outer("_docs").alias("_d"))
-
-    known_doc = [f.name for f in doc_schema.fields] + list(spec.ignore_unknown)
-    item_type = doc_schema[spec.items].dataType.elementType
-    known_item = [f.name for f in item_type.fields] + list(spec.ignore_unknown)
-    doc = F.col("_d.doc")
-    raw_doc = F.col("_d.raw")
-    corrupt = doc.getField(CORRUPT)
-    doc_unknown = _unknown(raw_doc, known_doc)
-    raw_items = F.transform(
-        F.from_json(raw_doc.getItem(spec.items), ArrayType(_MAP)), lambda m: _unknown(m, known_item)
+        F.when(F.col("_json").isNull(), F.col("value")).alias("_text"),
+        F.explode(F.when(listed.isNull(), F.array("_json")).otherwise(listed)).alias("_doc"),  # an empty list has no rows
     )
-    # A document that did not parse keeps its raw text (_doc_rescue); one that parsed
-    # keeps its unknown top-level fields as a map (_doc_unknown).
-    unreadable = F.col("_d").isNull() | raw_doc.isNull() | corrupt.isNotNull()
+    doc = F.col("_doc")
+    is_object = F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
     return docs.select(
-        *[doc.getField(f.name).alias(f.name) for f in doc_schema.fields],
         SOURCE_FILE,
-        F.when(unreadable, F.col("value")).alias("_doc_rescue"),
-        F.when(~unreadable, doc_unknown).alias("_doc_unknown"),
-        raw_items.alias("_raw_items"),
+        F.coalesce(F.col("_text"), F.when(~is_object, F.to_json(doc))).alias("_doc_rescue"),
+        F.when(is_object, unknown_fields(doc, spec.read_schema, spec.ignore_unknown)).alias("_doc_unknown"),
+        F.try_variant_get(doc, f"$.{spec.items}", "array<variant>").alias("_raw_items"),
     )
 
 

@@ -8,7 +8,9 @@ session's checkpoint folder. Non-deterministic columns (``source_file``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.dates import day, month_start, month_text
@@ -18,8 +20,8 @@ from ledgerflow.operators.flatten import explode_items
 from ledgerflow.operators.latest import latest_by_max, latest_per_key
 from ledgerflow.operators.quality import (
     REASON,
+    expect_all_or_drop,
     keep_rejected,
-    keep_valid,
     rule_counts,
     split_counts,
     tag_failures,
@@ -28,15 +30,13 @@ from ledgerflow.operators.quality import (
 from ledgerflow.plans.fixtures import LINEITEM_ORDER, documents, landing_fixture, transaction_items, write_documents
 from ledgerflow.plans.medallion import (
     bronze_batch,
-    ingest_changed,
-    process_silver_batch,
     run_pipeline,
     silver_current,
-    silver_table,
 )
-from ledgerflow.plans.sink import conform, duplicate_keys, write_clustered
+from ledgerflow.plans.sink import conform, write_clustered
 from ledgerflow.plans.upsert import UpsertTable
-from ledgerflow.session import Fs, checkpoint_root, work_dir
+from ledgerflow.session import Fs, work_dir
+from ledgerflow.sources.landing import list_files
 from ledgerflow.spec import SOURCE_FILE, transactions_spec
 from ledgerflow.streaming.bronze import run_bronze
 
@@ -76,22 +76,12 @@ def _stream_bronze(spark, landing, **kw) -> str:
     return bronze
 
 
-_E2E: dict = {}
-
-
 def _end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
-    """Landing → bronze stream → silver stream (foreachBatch); run once per session and input."""
-    key = (checkpoint_root(spark), sf)
-    if key not in _E2E or not Fs(spark).exists(_E2E[key][0].path):
-        _E2E[key] = _run_end_to_end(spark, sf)
-    return _E2E[key]
-
-
-def _run_end_to_end(spark, sf) -> tuple[UpsertTable, str, str]:
+    """Landing → bronze stream → silver stream (foreachBatch), run anew by each query."""
     # one bronze batch (so within-batch ties resolve by file and position), several silver batches
     out = run_pipeline(
         spark, SPEC, landing_fixture(spark, sf), work_dir(spark, "flow"),
-        bronze_max_files=None, silver_max_files=4, compact_every=3,
+        overwrites=False, bronze_max_files=None, silver_max_files=4, compact_every=3,
     )
     return out["table"], out["quarantine"], out["metrics"]
 
@@ -102,41 +92,70 @@ def landing_ingest(spark, sf):
 
 
 def landing_rate_limited(spark, sf):
-    bronze = _stream_bronze(spark, landing_fixture(spark, sf), max_files=RATE_LIMIT_FILES)
-    return spark.read.parquet(bronze).select(*DET_BRONZE)
+    """The rows, and whether the batches are as many as the file bound asks for."""
+    landing, bronze = landing_fixture(spark, sf), work_dir(spark, "bronze")
+    progress = run_bronze(spark, landing, bronze, work_dir(spark, "ckpt-bronze"), SPEC, max_files=RATE_LIMIT_FILES)
+    batches = sum(1 for p in progress if p["numInputRows"])
+    due = -(-list_files(spark, landing).count() // RATE_LIMIT_FILES)
+    return spark.read.parquet(bronze).select(*DET_BRONZE, F.lit(batches == due).alias("batches_as_bound"))
+
+
+def _parts(spark, sf, kind: int, bump: bool = False) -> DataFrame:
+    """Documents of one part of ``lineitem``; the parts 0, 1 and 2 make up the whole table."""
+    k = F.pmod(F.col("l_orderkey"), F.lit(4))
+    part = F.when(k == 0, 0).when(k == 2, 1).otherwise(2)
+    return documents(transaction_items(_t(spark, sf, "lineitem").where(part == kind), bump=bump))
 
 
 def landing_overwrites(spark, sf):
-    landing = work_dir(spark, "landing")
-    lineitem = _t(spark, sf, "lineitem")
-    write_documents(documents(transaction_items(lineitem)), landing)
-    bronze, manifest = work_dir(spark, "bronze"), work_dir(spark, "manifest")
-    ingest_changed(spark, landing, bronze, manifest, SPEC)
-    # the producer re-writes every document in place (same names, new amounts)
-    write_documents(documents(transaction_items(lineitem, bump=True)), landing)
-    ingest_changed(spark, landing, bronze, manifest, SPEC)
-    table = silver_table(spark, work_dir(spark, "silver"), SPEC)
-    fs = Fs(spark)
-    batches = sorted(int(d.split("=")[1]) for d in fs.ls(bronze) if d.startswith("batch_id="))
-    for b in batches:
-        process_silver_batch(spark.read.parquet(f"{bronze}/batch_id={b}"), b, SPEC, table, work_dir(spark, "q"))
+    """Two runs of the flow: in between one part is re-written in place, one is new, one stays."""
+    landing, root = work_dir(spark, "landing"), work_dir(spark, "flow")
+    write_documents(_parts(spark, sf, 0), f"{landing}/rewritten")
+    write_documents(_parts(spark, sf, 2), f"{landing}/kept")
+    run_pipeline(spark, SPEC, landing, root)
+    write_documents(_parts(spark, sf, 0, bump=True), f"{landing}/rewritten")
+    write_documents(_parts(spark, sf, 1, bump=True), f"{landing}/new")
+    table = run_pipeline(spark, SPEC, landing, root)["table"]
     return silver_current(table, SPEC).select(
         "client_id", "transaction_id", "transaction_value_amount", "transaction_gross_value_amount",
         "transaction_net_value_amount",
     )
 
 
-def rescue_unknown_fields(spark, sf):
-    b = _bronze_l(spark, sf, extra_field=True, rescue=True)
+def landing_late_files(spark, sf):
+    """Files that arrive between two runs with a time 30 days back are read like any other."""
+    landing, bronze, ckpt = work_dir(spark, "landing"), work_dir(spark, "bronze"), work_dir(spark, "ckpt")
+    write_documents(_parts(spark, sf, 0), f"{landing}/first")
+    run_bronze(spark, landing, bronze, ckpt, SPEC)
+    write_documents(_parts(spark, sf, 1), f"{landing}/late")
+    Fs(spark).backdate(f"{landing}/late", days=30)
+    write_documents(_parts(spark, sf, 2), f"{landing}/new")
+    run_bronze(spark, landing, bronze, ckpt, SPEC)
+    return spark.read.parquet(bronze).select(*DET_BRONZE)
+
+
+def _rescued_columns(b: DataFrame) -> DataFrame:
+    rescued = F.col("_rescued_data")
     return b.select(
-        "client_id",
-        "transaction_id",
-        "transaction_value_amount",
-        rescued_field(F.col("_rescued_data"), "settlementDays").alias("settlement_days"),
-        rescued_field(F.col("_rescued_data"), "links").isNotNull().alias("has_links"),
+        "client_id", "transaction_id", "transaction_value_amount",
+        rescued_field(rescued, "settlementDays").alias("settlement_days"),
+        F.get_json_object(rescued, "$['transactionValue.fx']").alias("fx"),
+        F.get_json_object(rescued, "$['meta.trace']").alias("trace"),
+        rescued_field(rescued, "links").isNotNull().alias("has_links"),
+        F.get_json_object(rescued, "$._file_path").eqNullSafe(F.col(SOURCE_FILE)).alias("names_its_file"),
     )
 
 
+def rescue_unknown_fields(spark, sf):
+    """Unknown fields of item, money struct, document and ``meta``, read as a batch."""
+    return _rescued_columns(_bronze_l(spark, sf, extra_field=True, rescue=True))
+
+
+def rescue_stream(spark, sf):
+    """The same through the bronze stream in its normal mode."""
+    return _rescued_columns(spark.read.parquet(_stream_bronze(spark, landing_fixture(spark, sf, extra_field=True))))
+
+
 # ------------------------------------------------------------------ generators / projections
 def explode_outer_items(spark, sf):
     li = _t(spark, sf, "lineitem").select(
@@ -183,7 +202,7 @@ def _tagged(spark, sf, rules=EXTRA_RULES):
 
 
 def expect_valid(spark, sf):
-    return keep_valid(_tagged(spark, sf)).select(
+    return expect_all_or_drop(_casted_l(spark, sf), EXTRA_RULES).select(
         "client_id", "transaction_id", "transaction_value_amount", "transaction_conversion_date"
     )
 
@@ -274,13 +293,26 @@ def upsert_compacted(spark, sf):
 
 def upsert_actions(spark, sf):
     table = UpsertTable(spark, work_dir(spark, "events-actions"), EVENT_KEYS, EVENT_SEQ, buckets=16)
-    rows = []
+    counts = []
     for i, b in enumerate(OUT_OF_ORDER):
         batch = events_batch(spark, sf, b)
-        a = table.actions(batch).first()  # one metrics row per batch
-        rows.append((b, int(a["inserted"]), int(a["updated"]), int(a["ignored"])))
-        table.append(batch, i)
-    return spark.createDataFrame(rows, "batch_id long, inserted long, updated long, ignored long")
+        counts.append(table.actions(batch).select(F.lit(b).cast("long").alias("batch_id"), "inserted", "updated", "ignored"))
+        table.append(batch, i)  # the counts above read the files there were before
+    return reduce(DataFrame.unionByName, counts)
+
+
+def upsert_ties(spark, sf):
+    """Equal sequences from two writers, with a compaction between: the later commit wins, broadcast or not."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", F.lit(0).alias("version"))
+    out = []
+    for plan, budget in (("broadcast", 256 << 20), ("shuffle", 0)):
+        table = UpsertTable(spark, work_dir(spark, "ties"), ["o_orderkey"], ["version"], buckets=16, broadcast_bytes=budget)
+        table.append(orders.withColumn("won", F.lit("a0")), 0, writer="a")
+        table.append(orders.where("o_orderkey % 2 = 0").withColumn("won", F.lit("b0")), 0, writer="b")
+        table.compact()
+        table.append(orders.where("o_orderkey % 3 = 0").withColumn("won", F.lit("a1")), 1, writer="a")
+        out.append(table.current().select(F.lit(plan).alias("plan"), "o_orderkey", "won"))
+    return out[0].unionByName(out[1])
 
 
 def upsert_month_change(spark, sf):
@@ -309,8 +341,13 @@ def silver_end_to_end(spark, sf):
 
 
 def silver_key_unique(spark, sf):
-    table, _, _ = _end_to_end(spark, sf)
-    return duplicate_keys(silver_current(table, SPEC), SPEC.keys)
+    """Rows, distinct keys and NULL keys of the silver table."""
+    rows = silver_current(_end_to_end(spark, sf)[0], SPEC)
+    return rows.groupBy(*SPEC.keys).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_keys"),
+        F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in SPEC.keys])).alias("n_null_keys"),
+    )
 
 
 def quarantine_end_to_end(spark, sf):
@@ -346,21 +383,32 @@ def stream_restart(spark, sf):
 
 
 def schema_contract(spark, sf):
-    valid = keep_valid(tag_failures(_casted_l(spark, sf), SPEC.rule_map))
-    return conform(valid, SPEC.silver_schema(), SPEC.not_null).select(*SILVER_DET)
+    """Read back from a written table, whose types must be the contract's."""
+    path = work_dir(spark, "contract")
+    conform(expect_all_or_drop(_casted_l(spark, sf), SPEC.rule_map), SPEC.silver_schema(), SPEC.not_null).write.parquet(path)
+    back = spark.read.parquet(path)
+    kept = [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in SPEC.silver_schema()]
+    return back.select(*SILVER_DET, F.lit(kept).alias("as_declared"))
 
 
 def clustered_write(spark, sf):
-    path = work_dir(spark, "clustered")
-    write_clustered(_bronze_l(spark, sf), path, SPEC.cluster_by)
-    return spark.read.parquet(path).select("transaction_conversion_month", "client_id", "transaction_id")
+    """Rows of the clustered write, each with whether its file's range overlaps the range before."""
+    path, order = work_dir(spark, "clustered"), [*SPEC.cluster_by, "transaction_id"]
+    write_clustered(_bronze_l(spark, sf), path, SPEC.cluster_by, spread=SPEC.keys)
+    rows = spark.read.parquet(path).select(*order, F.col("_metadata.file_path").alias("file"))
+    ranges = rows.groupBy("file").agg(F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
+    before = F.lag("last").over(Window.orderBy("first", "last"))  # one row per file
+    ranges = ranges.select("file", F.coalesce(before > F.col("first"), F.lit(False)).alias("overlaps"))
+    return rows.join(ranges, "file").select(*order, "overlaps")
 
 
 QUERIES = {
     "landing_ingest": landing_ingest,
     "landing_rate_limited": landing_rate_limited,
     "landing_overwrites": landing_overwrites,
+    "landing_late_files": landing_late_files,
     "rescue_unknown_fields": rescue_unknown_fields,
+    "rescue_stream": rescue_stream,
     "explode_outer_items": explode_outer_items,
     "bronze_typed_dates": bronze_typed_dates,
     "silver_cast": silver_cast_q,
@@ -381,6 +429,7 @@ QUERIES = {
     "upsert_replay": upsert_replay,
     "upsert_month_change": upsert_month_change,
     "upsert_actions": upsert_actions,
+    "upsert_ties": upsert_ties,
     "upsert_compacted": upsert_compacted,
     "silver_key_unique": silver_key_unique,
     "silver_end_to_end": silver_end_to_end,
@@ -432,11 +481,7 @@ select
 from lineitem"""
 
 
-_DEC = [
-    "transaction_quota_price_amount", "transaction_quota_quantity", "transaction_value_amount",
-    "transaction_gross_value_amount", "income_tax_amount", "financial_transaction_tax_amount",
-    "transaction_exit_fee_amount", "transaction_net_value_amount",
-]
+_DEC = list(SPEC.cast_map)
 _BRONZE_COLS = ", ".join(DET_BRONZE)
 
 
@@ -506,18 +551,24 @@ select cast(b as bigint) as batch_id,
 from j group by b"""
 
 
+_RESCUED_SQL = (
+    "select client_id, transaction_id, transaction_value_amount, cast(l_linenumber as varchar) as settlement_days, "
+    "case when l_linenumber % 2 = 0 then type end as fx, 'trace-1' as trace, true as has_links, true as names_its_file "
+    f"from ({_l_sql()})"
+)
+
+
 ORACLES = {
     "landing_ingest": f"select {_BRONZE_COLS} from ({_l_sql()})",
-    "landing_rate_limited": f"select {_BRONZE_COLS} from ({_l_sql()})",
+    "landing_rate_limited": f"select {_BRONZE_COLS}, true as batches_as_bound from ({_l_sql()})",
+    "landing_late_files": f"select {_BRONZE_COLS} from ({_l_sql()})",
     "landing_overwrites": (
         "select client_id, transaction_id, transaction_value_amount, transaction_gross_value_amount, "
         f"transaction_net_value_amount from ({_casted_sql(bump=True)}) "
         f"where {_rule(SPEC.rule_map['valid_business_key'])} {_LATEST}"
     ),
-    "rescue_unknown_fields": (
-        "select client_id, transaction_id, transaction_value_amount, "
-        f"cast(l_linenumber as varchar) as settlement_days, true as has_links from ({_l_sql()})"
-    ),
+    "rescue_unknown_fields": _RESCUED_SQL,
+    "rescue_stream": _RESCUED_SQL,
     "explode_outer_items": (
         "select o_orderkey, l_linenumber, l_partkey, l_suppkey from orders left join lineitem on o_orderkey = l_orderkey"
     ),
@@ -567,16 +618,17 @@ ORACLES = {
     "upsert_replay": _EVENTS_LATEST,
     "upsert_compacted": _EVENTS_LATEST,
     "upsert_actions": _actions_sql(),
+    "upsert_ties": (
+        "select p as plan, o_orderkey, case when o_orderkey % 2 = 0 then 'b0' when o_orderkey % 3 = 0 then 'a1' else 'a0' end as won "
+        "from orders, (values ('broadcast'), ('shuffle')) t(p)"
+    ),
     "upsert_month_change": (
         "select o_orderkey, d as o_orderdate, strftime(d, '%Y-%m') as order_month from ("
         "select o_orderkey, case when o_orderkey % 21 = 0 then null "
         "when o_orderkey % 7 = 0 then cast(o_orderdate + interval 2 month as date) "
         "else cast(o_orderdate as date) end as d from orders)"
     ),
-    "silver_key_unique": (
-        f"select client_id, transaction_id, count(*) as n from ({_SILVER_DET_SQL}) "
-        "group by client_id, transaction_id having count(*) > 1"
-    ),
+    "silver_key_unique": f"select count(*) as n_rows, count(*) as n_keys, 0::bigint as n_null_keys from ({_SILVER_DET_SQL})",
     "silver_end_to_end": _SILVER_DET_SQL,
     "quarantine_end_to_end": (
         f"select client_id, transaction_id, 'valid_business_key' as failure_reason from ({_casted_sql()}) "
@@ -589,6 +641,6 @@ ORACLES = {
         f"as failed_valid_business_key from ({_casted_sql()})"
     ),
     "stream_restart": f"select {_BRONZE_COLS} from ({_l_sql()})",
-    "schema_contract": _VALID_SQL,
-    "clustered_write": f"select transaction_conversion_month, client_id, transaction_id from ({_l_sql()})",
+    "schema_contract": f"select *, true as as_declared from ({_VALID_SQL})",
+    "clustered_write": f"select transaction_conversion_month, client_id, transaction_id, false as overlaps from ({_l_sql()})",
 }

@@ -39,8 +39,8 @@ def _dec3(c: Column) -> Column:
     return c.cast("decimal(20,3)")
 
 
-def _money(amount: Column) -> Column:
-    return F.struct(amount.cast("string").alias("amount"), F.lit("BRL").alias("currency"))
+def _money(amount: Column, *more: Column) -> Column:
+    return F.struct(amount.cast("string").alias("amount"), F.lit("BRL").alias("currency"), *more)
 
 
 def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool = False) -> DataFrame:
@@ -49,6 +49,8 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
     value = _dec3(F.col("l_extendedprice"))
     if bump:
         value = F.when(F.pmod(ok, F.lit(2)) == 0, value + F.lit(1)).otherwise(value)
+    # an unknown field inside a known struct, on some items only
+    fx = [F.when(F.col("l_linenumber") % 2 == 0, F.col("l_returnflag")).alias("fx")] if extra_field else []
     fields = [
         F.when(F.pmod(ok, F.lit(17)) == 0, F.lit("")).otherwise(F.col("l_suppkey").cast("string")).alias("clientId"),
         F.col("l_partkey").cast("string").alias("investimentId"),
@@ -63,7 +65,7 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
         .alias("transactionConversionDate"),
         _money(_dec3(F.col("l_extendedprice"))).alias("transactionQuotaPrice"),
         _dec3(F.col("l_quantity")).cast("string").alias("transactionQuotaQuantity"),
-        _money(value).alias("transactionValue"),
+        _money(value, *fx).alias("transactionValue"),
         _money(value).alias("transactionGrossValue"),
         _money(_dec3(F.col("l_tax"))).alias("incomeTax"),
         _money(_dec3(F.col("l_discount"))).alias("financialTransactionTax"),
@@ -98,7 +100,7 @@ def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
 
 
 LINK_BASE = "https://landing.example/transactions?page="
-META = {"requestDateTime": "2024-01-01T00:00:00Z"}
+META = {"requestDateTime": "2024-01-01T00:00:00Z", "trace": "trace-1"}
 
 
 def write_documents(docs: DataFrame, path: str) -> int:
@@ -133,7 +135,7 @@ def write_documents(docs: DataFrame, path: str) -> int:
         def document_text(doc: str, item_jsons: list) -> bytes:
             page = _json.dumps(link_base + str(int(doc)))
             links = "{" + ",".join(f'"{k}":{page}' for k in ("self", "first", "prev", "next")) + "}"
-            return ('{"data":[' + ",".join(item_jsons) + '],"links":' + links + ',"meta":' + meta_json + "}").encode()
+            return ('{"data":[\n' + ",\n".join(item_jsons) + '\n],"links":' + links + ',"meta":' + meta_json + "}").encode()
 
         fs, root = fs_root(target)
         fs.create_dir(root, recursive=True)
@@ -193,5 +195,6 @@ def landing_fixture(
     if where:
         lineitem = lineitem.where(where)
     write_documents(documents(transaction_items(lineitem, bump, extra_field), items_per_doc), path)
+    fs.write_text(f"{path}/notes.txt", "no document", overwrite=True)  # the source must pass over it
     fs.write_text(f"{path}/_SUCCESS", "", overwrite=True)
     return path

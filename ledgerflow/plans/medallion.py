@@ -53,7 +53,7 @@ def casted_view(bronze: DataFrame, spec: TableSpec, cast_check: bool = False) ->
 
 
 def silver_table(spark: SparkSession, path: str, spec: TableSpec, buckets: int = 64) -> UpsertTable:
-    return UpsertTable(spark, path, spec.keys, spec.sequence_by, buckets=buckets)
+    return UpsertTable(spark, path, spec.keys, spec.sequence_by, buckets=buckets, cluster_by=spec.silver_cluster_by)
 
 
 def silver_current(table: UpsertTable, spec: TableSpec) -> DataFrame:

@@ -87,6 +87,12 @@ class Fs:
     def delete(self, p: str, recursive: bool = True) -> None:
         self._fs(p).delete(self._path(p), recursive)
 
+    def backdate(self, p: str, days: int) -> None:
+        """Set the modification time of the files in ``p`` back (fixtures of late files)."""
+        fs = self._fs(p)
+        for s in fs.listStatus(self._path(p)):
+            fs.setTimes(s.getPath(), s.getModificationTime() - days * 86_400_000, -1)
+
     def rename(self, src: str, dst: str) -> bool:
         return bool(self._fs(src).rename(self._path(src), self._path(dst)))
 

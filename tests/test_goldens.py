@@ -158,7 +158,7 @@ def test_rescue_keeps_unknown_fields(spark, spec, tmp_path):
     (tmp_path / "extra.json").write_text(json.dumps(extra))
     rows = {r["transaction_id"]: r for r in bronze_batch(spark, str(tmp_path), spec, rescue=True).collect()}
     r = json.loads(rows["extra"]["_rescued_data"])
-    assert r["settlementDays"] == "3" and "links" in r and r["_file_path"].endswith("extra.json")
+    assert r["settlementDays"] == "3" and r["transactionValue.fx"] == "1.2" and "links" in r and r["_file_path"].endswith("extra.json")
     assert json.loads(rows["ok"]["_rescued_data"]).keys() == {"links", "_file_path"}
     assert rows[None]["_rescued_data"].startswith("{")  # malformed document keeps its raw text
     assert "top_array_1" in rows and "top_array_2" in rows
@@ -320,3 +320,53 @@ def test_rescue_reads_the_same_documents(spark, spec, tmp_path):
     (tmp_path / "none.json").write_text("[]")
     got = [sorted(r.transaction_id for r in bronze_batch(spark, str(tmp_path), spec, rescue=r).collect()) for r in (False, True)]
     assert got[0] == got[1] == ["x", "y"]
+
+
+def test_rescue_odd_names_and_kinds(spark, spec, tmp_path):
+    """Repeated names, a field named like the file's, equal names in item and document, other kinds of value."""
+    from ledgerflow.plans.medallion import bronze_batch
+
+    one = json.dumps(item("odd", _file_path="own", note="item", transactionExitFee="12.5"))[:-1] + ',"foo":1,"foo":2}'
+    tail = '"note":"document","meta":"none","big":"' + "x" * 5000 + '"'
+    (tmp_path / "odd.json").write_text('{"data":[' + one + "," + json.dumps(item("plain")) + "]," + tail + "}")
+    (tmp_path / "cut.json").write_text('{"data":[' + "7" * 5000)
+    (tmp_path / "blank.json").write_text(" \n")
+    rows = {r["transaction_id"]: r for r in bronze_batch(spark, str(tmp_path), spec, rescue=True).collect()}
+    assert rows.keys() == {"odd", "plain", None}
+    odd = json.loads(rows["odd"]["_rescued_data"])
+    assert odd["foo"] == "2" and odd["note"] == "item" and odd["$.note"] == "document"
+    assert odd["$._file_path"] == "own" and odd["_file_path"].endswith("odd.json")
+    assert odd["transactionExitFee"] == "12.5" and odd["meta"] == "none"
+    assert rows["odd"]["transaction_exit_fee_amount"] is None and rows["odd"]["transaction_value_amount"] == "731.58"
+    assert json.loads(rows["plain"]["_rescued_data"]).keys() == {"note", "meta", "big", "_file_path"}
+    assert rows[None]["_rescued_data"] == '{"data":[' + "7" * 5000
+
+
+def test_run_pipeline_reads_overwritten_files(spark, spec, tmp_path):
+    from ledgerflow.plans.medallion import run_pipeline
+
+    landing, root = tmp_path / "landing", str(tmp_path / "flow")
+    landing.mkdir()
+    (landing / "a.json").write_text(json.dumps(doc(item("ow", transactionValue=money("1.00")))))
+    run_pipeline(spark, spec, str(landing), root, buckets=4, bronze_max_bytes="1k")
+    (landing / "a.json").write_text(json.dumps(doc(item("ow", transactionValue=money("15.00")), item("more"))))
+    out = run_pipeline(spark, spec, str(landing), root, buckets=4, bronze_max_bytes="1k")
+    s = {r["transaction_id"]: r["transaction_value_amount"] for r in silver_current(out["table"], spec).collect()}
+    assert s == {"ow": Decimal("15.00"), "more": Decimal("731.58")}
+    with pytest.raises(ValueError, match="overwrites"):
+        run_pipeline(spark, spec, str(landing), root, buckets=4, overwrites=False)
+
+
+def test_bytes_bound_cuts_a_list(spark, spec, tmp_path):
+    write_goldens(str(tmp_path / "landing"))
+    last = ingest_changed(spark, str(tmp_path / "landing"), str(tmp_path / "b"), str(tmp_path / "m"), spec, max_bytes="2k")
+    assert last > 1 and spark.read.parquet(str(tmp_path / "b")).count() == sum(g[1] for g in GOLDENS.values())
+
+
+def test_clustered_write_spreads_a_hot_value(spark, tmp_path):
+    from ledgerflow.plans.sink import clustered
+
+    hot = F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("m"), F.col("id") % 50))
+    df = clustered(spark.range(40_000).select(hot.alias("month"), F.col("id").cast("string").alias("key")), ["month"], 8, spread=["key"])
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 40_000 / 8

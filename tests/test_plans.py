@@ -24,7 +24,8 @@ def test_bronze_is_map_only(spark, spec, tmp_path):
 def test_latest_has_partial_limit_before_shuffle(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
     p = plan(latest_per_key(df, ["user_id", "event_type"], ["ts", "event_id"]))
-    assert "WindowGroupLimit" in p
+    below = p[p.index("Exchange"):]
+    assert "WindowGroupLimit" in below and "Partial" in below
 
 
 def test_key_filter_reaches_scan(spark):

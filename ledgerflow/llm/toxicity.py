@@ -3,7 +3,9 @@
 A document is a bag of sentences. A sentence scores ``p = sigmoid(bias + sum of word weights)``
 over hashed words and word beginnings
 (the first ``STEMS`` bytes, so an inflected offence counts like its stem); sentence scores combine by noisy-or, ``P = 1 - prod(1 - p)``, and only the
-document's label is known in training. The trained sentence scores then locate the offending
+document's label is known in training. In scoring the leak is taken out of the product,
+``P = 1 - prod((1 - p) / (1 - sigmoid(bias)))``, so sentences without evidence add nothing, and a text of more than
+``BAG`` sentences gets the greatest P of any ``BAG`` sentences in a row, so faint evidence does not add up with length. The trained sentence scores then locate the offending
 sentences. Training is numpy gradient descent (Adam) on a bounded sample of labelled documents:
 ``SAMPLE`` documents, each of at most ``SAMPLE_CHARS`` characters (bounds of the fit alone); scoring
 reads every whole text.
@@ -29,6 +31,7 @@ STEMS = (4, 5, 6, 7, 8, 10)  # bytes of the lower-cased UTF-8 word
 THRESHOLD = 0.3
 MIN_DOCS = 4  # a bucket in fewer sampled documents keeps weight 0
 
+BAG = 100  # sentences combined at once in scoring; most documents of the fit have fewer
 PRUNE = 0.2  # weights below are noise that would add up over a long document
 
 _WORD = byte_class((97, 122), (128, 255))
@@ -39,6 +42,7 @@ _STOP = byte_class((10, 10), (13, 13), (33, 33), (46, 46), (63, 63))
 class ToxicModel:
     weights: np.ndarray  # float32 per word bucket
     bias: float
+    leak: float = -np.inf  # logit of a sentence without evidence; -inf for the constant base rate
 
     def sentences(self, chunk: Chunk):
         """Words, sentence bounds (as words), sentence logits, first sentence per document."""
@@ -51,7 +55,12 @@ class ToxicModel:
 
     def score(self, chunk: Chunk) -> np.ndarray:
         _, _, z, first = self.sentences(chunk)
-        return 1.0 - np.exp(-segment_sum(np.logaddexp(0, z), first))
+        total = np.concatenate([[0.0], np.cumsum(np.logaddexp(0, z) - np.logaddexp(0, self.leak))])
+        last = np.minimum(np.arange(len(z)) + BAG, np.repeat(first[1:], np.diff(first)))
+        worst, full = np.zeros(chunk.n), np.flatnonzero(np.diff(first))
+        if len(full):
+            worst[full] = np.maximum.reduceat(total[last] - total[:-1], first[full])
+        return 1.0 - np.exp(-worst)
 
 
 def bags(chunk: Chunk):
@@ -138,7 +147,7 @@ def train(pairs: list[tuple], steps: int = 360, batch: int = 256, rate: float =
             mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
             b -= rate * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-8)
     w[w < PRUNE] = 0
-    return ToxicModel(w.astype(np.float32), float(b))
+    return ToxicModel(w.astype(np.float32), float(b), float(b))
 
 
 def train_on(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> ToxicModel:
@@ -150,7 +159,7 @@ def with_score(docs: DataFrame, model: ToxicModel, score: str, text_col: str = "
     """``docs`` plus a double column 0..1. Null and empty texts score 0 (no sentence offends)."""
     spark = docs.sparkSession
     ship(spark)
-    sent = spark.sparkContext.broadcast((model.weights, model.bias))
+    sent = spark.sparkContext.broadcast((model.weights, model.bias, model.leak))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ToxicModel(*sent.value)

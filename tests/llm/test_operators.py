@@ -480,3 +480,14 @@ def test_mil_is_noisy_or():
 
     one = [model.score(c) for c in chunks(pa.array(["bad word here", "bad word here. bad word here", "", "!!!"], pa.large_string()))][0]
     assert one[1] == pytest.approx(1 - (1 - one[0]) ** 2) and one[2] == one[3] == 0
+
+
+def test_length_alone_is_not_toxic():
+    model = toxicity.train([("bad word here. fine", 1), ("fine. all fine", 0)] * 40)
+    from ledgerflow.llm.common import chunks
+
+    clean = "Fine. All fine. Other words! " * 3334
+    clean_score, hidden = [model.score(c)[0] for t in (clean, clean + "Bad word here.") for c in chunks(pa.array([t], pa.large_string()))]
+    assert clean_score < toxicity.THRESHOLD <= hidden
+    constant = toxicity.train([("bad", 1), ("fine", 1)])
+    assert constant.score(next(chunks(pa.array(["any text"], pa.large_string()))))[0] >= toxicity.THRESHOLD

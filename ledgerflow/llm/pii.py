@@ -118,9 +118,12 @@ def _phone(f, m, back):
     def valid(x):
         return x // 10**9 >= 2 and x // 10**6 % 10 >= 2
 
-    if not valid(int(own)):
-        return None
-    return _refill(m, head + f"{f.permute('phone', int(own), 10**10, valid, back):010d}")
+    plain = valid(int(own))
+    if not plain and "(" not in m and "+" not in m:
+        return None  # without a mark, ten digits are a phone number only under the numbering plan
+    # valid and other numbers each stay among themselves, so the result is read as the same kind again
+    y = f.permute("phone", int(own), 10**10, valid if plain else lambda x: not valid(x), back)
+    return _refill(m, f"{head}{y:010d}")
 
 
 def _international(f, m, back):
@@ -217,7 +220,7 @@ KINDS = [
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _ssn),
     ("ipv4", r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])", _ipv4),
     ("card", r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])", _card),
-    ("phone", r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?\([2-9][0-9]{2}\) ?[0-9]{3}[ .-]?[0-9]{4}" + _END, _phone),
+    ("phone", r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-]?[0-9]{4}" + _END, _phone),
     ("phone", r"(?<![0-9A-Za-z+.-])(?:\+?1[ .-])?[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4}(?![0-9]|[.-][0-9])", _phone),
     ("phone", r"(?<![0-9A-Za-z+])\+[1-9](?:[ .-]?[0-9]){8,14}" + _END, _international),
 ]

@@ -373,6 +373,17 @@ def test_pseudonyms_keep_format_link_and_invert():
     assert pii.Pseudonyms(b"other").replace(TEXT)[0] != new
 
 
+def test_phone_of_any_area_code():
+    olds = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(136) 555-7479", "+1 (547) 055-0128", "+1-017-555-7713", "+10175557713"]
+    text = "; ".join([*olds, "017-555-7713"])  # the last has no mark of a phone number
+    new, found = pii.Pseudonyms(b"secret").replace(text)
+    parts = [new[a:b] for _, a, b in found]
+    assert [k for k, _, _ in found] == ["phone"] * len(olds) and not any(old in new for old in olds[:4])
+    assert [re.sub("[0-9]", "9", p) for p in parts] == [re.sub("[0-9]", "9", o) for o in olds] and new.endswith("; 017-555-7713")
+    assert len({re.sub(r"\D", "", parts[i])[1:] for i in (0, 4, 5)}) == 1
+    assert pii.Pseudonyms(b"secret", back=True).replace(new)[0] == text
+
+
 def test_pseudonymise_frame(spark, tmp_path):
     docs = frame(spark, tmp_path, [(1, TEXT), (2, None), (3, "nothing here"), (4, "again 4117640103996265")])
     out = {r.doc_id: r for r in pii.pseudonymise(docs, b"secret").collect()}

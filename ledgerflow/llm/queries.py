@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerflow.llm import decontaminate, exact, langid, ngram_join, pieces, pii, quality, sharding, substring_dedup, toxicity
+from ledgerflow.llm import (
+    collocations, decontaminate, exact, langid, line_rules, ngram_join, periodic, pieces, pii, quality, sharding, substring_dedup, toxicity,
+)
 
 #: key of the demonstration query only; callers of the operator bring their own secret
 PII_KEY = b"ledgerflow-demo"
@@ -75,11 +77,57 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Of every tenth document (by hash of its id) the words from one place on repeat a stretch of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", words.alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w")
+    rows = rows.select("doc_id", "text", "w", "g", n.alias("n"), F.when(n > 0, F.col("g") % n).alias("a"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.select("doc_id", "text", "w", "a", period.alias("p"))
+    a, p = F.col("a"), F.col("p")
+    again = F.transform("w", lambda x, i: F.when(i < a, x).otherwise(F.get("w", (a + (i - a) % p).cast("int"))))
+    return rows.select("doc_id", F.when(p.isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_periodic_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", "runs", "collapsed", best.alias("best"), F.array_join(lines, "").alias("lines"))
+    length, period = -F.col("best.length"), F.col("best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(-1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_rules.rule_verdicts(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_removed_lines", "lost_chars",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_decontamination, op3_pii_pseudonyms, op4_shard_table, op5_toxicity_mil,
         op6_substring_dedup, op7_sentencepiece, op8_quality_ranking, op9_ngram_jaccard, op10_exact_dedup,
+        op11_periodic_runs, op12_collocations, op13_line_rules,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -117,5 +165,55 @@ ORACLES = {
                sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)""",
 }
+_TERMINAL_SQL = line_rules.TERMINAL.replace("'", "''")
+_LINE_OK = f"""
+    contains('{_TERMINAL_SQL}', right(rtrim(x, e' \\t\\n\\x0b\\x0c\\r'), 1))
+    AND 100 * length(regexp_replace(x, '[\\p{{L}}\\p{{M}}\\p{{N}}\\x20\\x09-\\x0D]', '', 'g')) <= {line_rules.MARK_SHARE} * length(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
+    AND NOT (length(x) - length(translate(x, '{line_rules.NAV_MARKS}', '')) >= 2
+        AND {line_rules.NAV_WORDS} * (length(x) - length(translate(x, '{line_rules.NAV_MARKS}', ''))) >= len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')))
+    AND NOT regexp_matches(lower(x), '{"|".join(line_rules.BOILERPLATE)}')"""
+ORACLES["op13_line_rules"] = rf"""
+        WITH d AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(t, e'\n'), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+        g AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+        again AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        rep AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS k FROM again) GROUP BY doc_id),
+        m AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+                   CAST(len(lines) AS BIGINT) AS n_lines, list_filter(lines, lambda x: {_LINE_OK}) AS good
+            FROM d LEFT JOIN rep USING (doc_id)),
+        v AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(n_lines - len(good) AS BIGINT) AS n_removed_lines,
+                   word_chars - length(regexp_replace(array_to_string(good, ''), '[\x20\x09-\x0D]', '', 'g')) AS lost_chars FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND 100 * lost_chars <= {line_rules.LOST_SHARE} * word_chars AS kept, n_lines, n_removed_lines, lost_chars
+        FROM v"""
+ORACLES["op12_collocations"] = r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        q AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        size AS (SELECT unnest([1, 2, 3]) AS m),
+        occ AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase FROM q, size WHERE len(w) >= m),
+        f AS (SELECT lang, m, phrase, count(*) AS f FROM occ GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+        c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+        cut AS (SELECT lang, m, phrase, a, w, unnest(range(1, m)) AS k FROM c),
+        s AS (
+            SELECT cut.lang, cut.m, cut.phrase, a, w, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1 : k], ' ')
+                     JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[k + 1 :], ' ')
+            QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1),
+        inner_ AS (
+            SELECT lang, phrase, max(a) AS around
+            FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM c WHERE m = 3) GROUP BY ALL),
+        kept AS (SELECT s.* FROM s LEFT JOIN inner_ i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.around IS NULL OR 100 * i.around < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

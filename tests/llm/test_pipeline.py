@@ -8,14 +8,14 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline
 from ledgerflow.llm import toxicity
-from test_operators import brute_components, brute_contamination
+from test_llm_operators import brute_components, brute_contamination
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_stages_keep_the_columns(spark):

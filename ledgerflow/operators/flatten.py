@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerflow.functions.dates import month_text
 from ledgerflow.operators.casts import safe_date
-from ledgerflow.sources.landing import unknown_fields, variant_field
+from ledgerflow.sources.landing import as_declared, differs_from, entry, json_text, last_wins, let, no_entries, text_map, unknown_members
 from ledgerflow.spec import INGESTION_DATE, INGESTION_TS, ITEM_POS, RESCUED, SOURCE_FILE, TableSpec
 
 
@@ -57,8 +58,7 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
         item = F.col("_item")
         rescued, get = F.lit(None).cast("string"), item_path
     else:
-        exploded, item, rescued = _explode_rescued(docs, spec)
-        get = variant_field
+        exploded, item, rescued, get = _explode_rescued(docs, spec)
     cols = project_paths(item, spec.fields, get)
     path_of = {c: p for p, c in spec.fields}
     by_name = {c: col for c, col in zip(spec.business_columns, cols)}
@@ -73,31 +73,57 @@ def bronze_frame(docs: DataFrame, spec: TableSpec, audit: bool = True) -> DataFr
 
 
 def _explode_rescued(docs: DataFrame, spec: TableSpec):
-    """Rescue path: explode the VARIANT items and build ``_rescued_data``.
+    """Rescue path: explode the items (maps of texts) and build ``_rescued_data``.
 
     Unknown item fields come first, then those of the document (repeated on each of its rows), then the
-    file. A name taken by an earlier one of these is written ``$.name``, so nothing is lost to a clash.
+    file. A name taken by an earlier one of these is written ``$.name``, so nothing is lost to a clash. An item
+    whose key sets agree with the schema's takes the document's text as it is.
     """
-    exploded = docs.select(
-        SOURCE_FILE, INGESTION_TS, INGESTION_DATE, "_doc_rescue", "_doc_unknown", F.posexplode_outer("_raw_items").alias(ITEM_POS, "_item")
-    )
-    item, file_path = F.col("_item"), F.lit("_file_path")
-    none = F.array().cast("array<struct<key:string,value:string>>")
-    own = F.coalesce(unknown_fields(item, spec.read_schema[spec.items].dataType.elementType, spec.ignore_unknown), none)
-    exploded = exploded.withColumn("_own", own)
-    own = F.col("_own")
-    names = F.array_append(F.transform(own, lambda e: e["key"]), file_path)
+    rows = docs.select(
+        SOURCE_FILE, INGESTION_TS, INGESTION_DATE, "_doc_unknown", "_doc_json", F.posexplode_outer("_raw_items").alias(ITEM_POS, "_one")
+    ).select(SOURCE_FILE, INGESTION_TS, INGESTION_DATE, "_doc_unknown", "_doc_json", ITEM_POS, F.col("_one.typed").alias("_item"), F.col("_one.all").alias("_m0"))
+    # one map per object of the item schema, outer ones first: path → column
+    maps, levels, known = {"": "_m0"}, [("", spec.read_schema[spec.items].dataType.elementType)], {}
+    for path, schema in levels:
+        known[path] = [f.name for f in schema.fields]
+        subs = {f"{path}.{f.name}" if path else f.name: f for f in schema.fields if isinstance(f.dataType, StructType)}
+        for inner, f in subs.items():
+            maps[inner] = f"_m{len(maps)}"
+            levels.append((inner, f.dataType))
+        # objects inside the item come typed with it, deeper ones are text of the object around them
+        rows = rows.withColumns({maps[inner]: text_map(F.col(maps[path])[f.name]) if path else F.col("_item").getField(f.name) for inner, f in subs.items()})
+
+    def get(_: Column, path: str) -> Column:
+        outer, _, name = path.rpartition(".")
+        if not outer:
+            return F.col("_item").getField(name)
+        m = F.col(maps[outer])
+        return F.when(as_declared(m, known[outer]), m[name]).otherwise(last_wins(m)[name])
+
+    differs, own = F.lit(False), []
+    for path, schema in levels:
+        m, prefix = F.col(maps[path]), f"{path}." if path else ""
+        names = known[path] + (list(spec.ignore_unknown) if not path else [])
+        differs = differs | differs_from(m, names)
+        own.append(unknown_members(m, names, prefix))
+        for f in schema.fields:
+            if isinstance(f.dataType, StructType):  # another kind of value than the object it should be
+                misfit = F.col(maps[f"{prefix}{f.name}"]).isNull() & m[f.name].isNotNull()
+                differs = differs | F.coalesce(misfit, F.lit(False))
+                own.append(F.when(misfit, F.array(entry(F.lit(f"{prefix}{f.name}"), m[f.name]))))
+    found = F.when(differs, F.concat(*[F.coalesce(p, no_entries()) for p in own]))
+    file_path = F.lit("_file_path")
 
     def renamed(e, clash):
-        return F.struct(F.when(clash, F.concat(F.lit("$."), e["key"])).otherwise(e["key"]).alias("key"), e["value"].alias("value"))
+        return entry(F.when(clash, F.concat(F.lit("$."), e["key"])).otherwise(e["key"]), e["value"])
+
+    def merged(own: Column) -> Column:
+        names = F.array_append(F.transform(own, lambda e: e["key"]), file_path)
+        return F.concat(
+            F.transform(own, lambda e: renamed(e, e["key"] == file_path)),
+            F.transform("_doc_unknown", lambda e: renamed(e, F.array_contains(names, e["key"]))),
+            F.array(entry(file_path, F.col(SOURCE_FILE))),
+        )
 
-    entries = F.concat(
-        F.transform(own, lambda e: renamed(e, e["key"] == file_path)),
-        F.transform(F.coalesce("_doc_unknown", none), lambda e: renamed(e, F.array_contains(names, e["key"]))),
-        F.array(F.struct(file_path.alias("key"), F.col(SOURCE_FILE).alias("value"))),
-    )
-    # one object per entry, joined as text: a map would fail on a repeated name
-    bodies = F.transform(entries, lambda e: F.regexp_replace(F.to_json(F.create_map(e["key"], e["value"])), r"^\{|\}$", ""))
-    found = (F.size(own) > 0) | (F.size(F.coalesce("_doc_unknown", none)) > 0)
-    rescued = F.coalesce(F.col("_doc_rescue"), F.when(found, F.concat(F.lit("{"), F.array_join(bodies, ","), F.lit("}"))))
-    return exploded, item, rescued
+    rescued = let(found, lambda own: F.when(own.isNull(), F.col("_doc_json")).otherwise(json_text(merged(own))))
+    return rows, F.col("_item"), rescued, get

@@ -27,7 +27,7 @@ from ledgerflow.operators.quality import (
     tag_failures,
     to_quarantine,
 )
-from ledgerflow.plans.fixtures import LINEITEM_ORDER, documents, landing_fixture, transaction_items, write_documents
+from ledgerflow.plans.fixtures import LINEITEM_ORDER, LONG_DIGITS, documents, landing_fixture, transaction_items, write_documents
 from ledgerflow.plans.medallion import (
     bronze_batch,
     run_pipeline,
@@ -156,6 +156,16 @@ def rescue_stream(spark, sf):
     return _rescued_columns(spark.read.parquet(_stream_bronze(spark, landing_fixture(spark, sf, extra_field=True))))
 
 
+AMOUNTS = [c for c in SPEC.cast_map if c.endswith("_amount")]
+
+
+def rescue_number_text(spark, sf):
+    """Amounts that stand as numbers in the documents: both paths give their text as written."""
+    paths = {p: _bronze_l(spark, sf, bare=True, rescue=p == "rescue") for p in ("fast", "rescue")}
+    parts = [b.select(F.lit(p).alias("path"), "client_id", "transaction_id", *AMOUNTS) for p, b in paths.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # ------------------------------------------------------------------ generators / projections
 def explode_outer_items(spark, sf):
     li = _t(spark, sf, "lineitem").select(
@@ -409,6 +419,7 @@ QUERIES = {
     "landing_late_files": landing_late_files,
     "rescue_unknown_fields": rescue_unknown_fields,
     "rescue_stream": rescue_stream,
+    "rescue_number_text": rescue_number_text,
     "explode_outer_items": explode_outer_items,
     "bronze_typed_dates": bronze_typed_dates,
     "silver_cast": silver_cast_q,
@@ -569,6 +580,13 @@ ORACLES = {
     ),
     "rescue_unknown_fields": _RESCUED_SQL,
     "rescue_stream": _RESCUED_SQL,
+    "rescue_number_text": (
+        "select path, client_id, transaction_id, "
+        + ", ".join(
+            f"case cast(investiment_id as bigint) % 3 when 1 then {c} || 'E+2' when 2 then '{LONG_DIGITS}' || {c} else {c} end as {c}" for c in AMOUNTS
+        )
+        + f" from ({_l_sql()}), (values ('fast'), ('rescue')) t(path)"
+    ),
     "explode_outer_items": (
         "select o_orderkey, l_linenumber, l_partkey, l_suppkey from orders left join lineitem on o_orderkey = l_orderkey"
     ),

@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +77,19 @@ def transaction_items(lineitem: DataFrame, bump: bool = False, extra_field: bool
     return lineitem.select(sort_key.alias("_k"), F.struct(*fields).alias("item"))
 
 
+#: first digits of the long numbers of :func:`bare_numbers`
+LONG_DIGITS = "98765432109876543210987654321"
+
+
+def bare_numbers(docs: DataFrame) -> DataFrame:
+    """Amounts as JSON numbers instead of text: with trailing zeros, with an exponent, or of some 35 digits."""
+    amount = r'(?<name>"amount":)"(?<n>[^"]*)"'
+    kind = F.pmod(F.get_json_object("item_json", "$.investimentId").cast("long"), F.lit(3))
+    ways = ["${name}${n}", "${name}${n}E+2", "${name}" + LONG_DIGITS + "${n}"]
+    text = [F.regexp_replace("item_json", amount, w) for w in ways]
+    return docs.select("doc", F.when(kind == 1, text[1]).when(kind == 2, text[2]).otherwise(text[0]).alias("item_json"))
+
+
 def documents(items: DataFrame, items_per_doc: int = 256) -> DataFrame:
     """Items with their document: ``(doc, item_json)``, in ``_k`` order inside each partition.
 
@@ -165,13 +177,10 @@ def write_documents(docs: DataFrame, path: str) -> int:
     return int(docs.mapInPandas(write_part, "name string, bytes long").agg(F.count(F.lit(1))).first()[0])
 
 
-def _fingerprint(path: str, *params) -> str:
-    try:
-        st = os.stat(path)
-        stamp = f"{st.st_size}:{st.st_mtime_ns}"
-    except OSError:
-        stamp = "?"
-    return hashlib.sha1(f"{path}|{stamp}|{params}".encode()).hexdigest()[:16]
+def _fingerprint(spark: SparkSession, path: str, *params) -> str:
+    """Of the source's files as its store lists them, so a changed table never finds an older landing folder."""
+    files = Fs(spark).stamps(path)
+    return hashlib.sha1(f"{path}|{files}|{params}".encode()).hexdigest()[:16]
 
 
 def landing_fixture(
@@ -183,10 +192,11 @@ def landing_fixture(
     extra_field: bool = False,
     where: str | None = None,
     fresh: bool = False,
+    bare: bool = False,
 ) -> str:
     """Write (once per session and input) the landing folder derived from ``lineitem``."""
     src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    key = _fingerprint(src, items_per_doc, bump, extra_field, where)
+    key = _fingerprint(spark, src, items_per_doc, bump, extra_field, where, bare)
     path = work_dir(spark, f"landing-{key}", unique=fresh)
     fs = Fs(spark)
     if not fresh and fs.exists(f"{path}/_SUCCESS"):
@@ -194,7 +204,8 @@ def landing_fixture(
     lineitem = spark.read.parquet(src)
     if where:
         lineitem = lineitem.where(where)
-    write_documents(documents(transaction_items(lineitem, bump, extra_field), items_per_doc), path)
+    docs = documents(transaction_items(lineitem, bump, extra_field), items_per_doc)
+    write_documents(bare_numbers(docs) if bare else docs, path)
     fs.write_text(f"{path}/notes.txt", "no document", overwrite=True)  # the source must pass over it
     fs.write_text(f"{path}/_SUCCESS", "", overwrite=True)
     return path

@@ -93,6 +93,10 @@ class Fs:
         for s in fs.listStatus(self._path(p)):
             fs.setTimes(s.getPath(), s.getModificationTime() - days * 86_400_000, -1)
 
+    def stamps(self, p: str) -> list[tuple[str, int, int]]:
+        """(name, modification time, length) of a file or of the direct children of a folder."""
+        return sorted((s.getPath().getName(), int(s.getModificationTime()), int(s.getLen())) for s in self._fs(p).listStatus(self._path(p)))
+
     def rename(self, src: str, dst: str) -> bool:
         return bool(self._fs(src).rename(self._path(src), self._path(dst)))
 

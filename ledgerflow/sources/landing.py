@@ -3,11 +3,13 @@
 Two paths lead to the same bronze rows:
 
 * fast path — Spark's JSON source with the explicit schema; nothing is rescued;
-* rescue path — whole files as text, parsed once into VARIANT, from which the typed
-  values and the fields the schema does not know are both taken: frame ``(source_file,
-  _doc_rescue, _doc_unknown, _raw_items)``. A field of another kind than the schema's is
-  rescued by itself; only a document that does not parse keeps its raw text (one row).
-  A JSON number becomes its shortest text (``1.50`` reads ``1.5``).
+* rescue path — whole files as text. A document is parsed into text-typed structs (the values) and maps (the keys
+  it holds); what the schema does not take is found by the difference of key sets, level by level, and entries are
+  built only for objects whose set differs: frame ``(source_file, _doc_unknown, _doc_json, _raw_items)``. Only a
+  document that does not parse keeps its raw text (one row).
+
+The parser would turn a bare JSON number into a double before it becomes text, so numbers of members are
+put in quotes first (:func:`quoted_numbers`): ``1.50``, ``1E+3`` and 40 digits read as they stand in the file, on both paths.
 
 Overwritten files are handled by :func:`changed_files`: a distributed listing
 (``binaryFile`` without the content column) anti-joined to a manifest of
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from ledgerflow.spec import SOURCE_FILE, TableSpec
 
@@ -73,59 +75,145 @@ def read_landing(
     return df.select(*[F.col(f.name) for f in spec.read_schema.fields], F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
-def variant_field(value: Column, path: str) -> Column:
-    """Text of one field of a VARIANT (NULL where the path leads nowhere)."""
-    return F.try_variant_get(value, f"$.{path}", "string")
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?[0-9]++)?+"
+#: the quote that closes a member's name, and its number; an opening quote stands after one of the characters ruled out
+_MEMBER = rf'"(\s{{0,20}}+:\s{{0,20}}+)(?=-?[0-9])(?<![\s:,\[{{\\]"\s{{0,20}}:\s{{0,20}})({_NUMBER})(?=\s*+[,}}])'
+TEXTS = "map<string,string>"
+ENTRIES = "array<struct<key:string,value:string>>"
+#: key under which an element of the item list that is no object keeps its text
+NO_OBJECT = "$item"
 
 
-def unknown_fields(value: Column, schema: StructType, ignore: tuple[str, ...] = (), prefix: str = "") -> Column:
-    """``array<struct<key, value>>`` of what ``schema`` does not take from a VARIANT object.
+def quoted_numbers(text: Column) -> Column:
+    """JSON text with every number that is the value of a member in quotes, as it is written.
 
-    These are fields it does not name, at every level of nested structs (key ``outer.inner``), and fields
-    that hold another kind of value than the struct or list it names.
+    Numbers inside arrays stay (they are text of unknown fields only), and so do those of members whose name ends in
+    white space or one of ``: , [ { \\``. A quote inside a string is escaped, so nothing inside one is touched.
     """
-    none = F.array().cast("array<struct<key:string,value:string>>")
-
-    def entry(key: Column, v: Column) -> Column:
-        return F.struct(F.concat(F.lit(prefix), key).alias("key"), F.try_variant_get(v, "$", "string").alias("value"))
-
-    known = [f.name for f in schema.fields] + list(ignore)
-    every = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-    parts = [F.transform(F.filter(every, lambda e: ~e["key"].isin(known)), lambda e: entry(e["key"], e["value"]))]
-    for f in schema.fields:
-        if not isinstance(f.dataType, (StructType, ArrayType)):
-            continue
-        own = F.try_variant_get(value, f"$.{f.name}", "variant")
-        shape = "map<string,variant>" if isinstance(f.dataType, StructType) else "array<variant>"
-        misfit = ~F.is_variant_null(own) & F.try_variant_get(own, "$", shape).isNull()
-        parts.append(F.when(own.isNotNull() & misfit, F.array(entry(F.lit(f.name), own))))
-        if isinstance(f.dataType, StructType):
-            parts.append(unknown_fields(own, f.dataType, prefix=f"{prefix}{f.name}."))
-    return F.concat(*[F.coalesce(p, none) for p in parts])
+    return F.regexp_replace(text, _MEMBER, '"$1"$2"')
+
+
+def text_map(text: Column) -> Column:
+    """JSON object → its members as text (NULL if it is none)."""
+    return F.from_json(text, TEXTS)
+
+
+def last_wins(m: Column) -> Column:
+    """Of a repeated name the last member counts."""
+    keys = F.map_keys(m)
+    names = F.array_distinct(keys)
+    values = F.transform(names, lambda k: F.element_at(F.filter(F.map_entries(m), lambda e: e["key"] == k), -1)["value"])
+    return F.when(F.size(keys) > F.size(names), F.map_from_arrays(names, values)).otherwise(m)
+
+
+def item_shape(schema: StructType) -> StructType:
+    """Text for every field; an object keeps all its members, named by the schema or not."""
+    return StructType([StructField(f.name, MapType(StringType(), StringType()) if isinstance(f.dataType, StructType) else StringType()) for f in schema.fields])
+
+
+def no_entries() -> Column:
+    return F.array().cast(ENTRIES)
+
+
+def entry(key: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), value.alias("value"))
+
+
+def as_declared(m: Column, known) -> Column:
+    """The map holds just the known names, once each and in order (the usual case, seen at once)."""
+    return F.coalesce(F.map_keys(m) == F.array(*[F.lit(k) for k in known]), F.lit(True))
+
+
+def unknown_keys(keys: Column, known) -> Column:
+    return F.array_except(keys, F.array(*[F.lit(k) for k in known]))
+
+
+def differs_from(m: Column, known) -> Column:
+    """Whether the map holds a key that ``known`` does not name."""
+    return F.when(as_declared(m, known), F.lit(False)).otherwise(F.size(unknown_keys(F.map_keys(m), known)) > 0)
+
+
+def unknown_members(m: Column, known, prefix: str = "") -> Column:
+    """Entries of the members of ``m`` that ``known`` does not name (NULL if the key sets agree)."""
+    others = F.filter(F.map_entries(last_wins(m)), lambda e: ~e["key"].isin(list(known)))
+    found = F.transform(others, lambda e: entry(F.concat(F.lit(prefix), e["key"]), e["value"]))
+    return F.when(differs_from(m, known), found)
+
+
+def let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once, however often ``body`` reads it and whatever the optimizer inlines."""
+    return F.transform(F.array(value), body)[0]
+
+
+def json_text(entries: Column) -> Column:
+    """Entries as one JSON object; where a name repeats they are written one by one, as a map cannot hold them."""
+
+    def one_by_one(e: Column) -> Column:
+        bodies = F.transform(e, lambda x: F.regexp_replace(F.to_json(F.create_map(x["key"], x["value"])), r"^\{|\}$", ""))
+        return F.concat(F.lit("{"), F.array_join(bodies, ","), F.lit("}"))
+
+    def written(e: Column) -> Column:
+        names = F.transform(e, lambda x: x["key"])
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), F.to_json(F.map_from_entries(e))).otherwise(one_by_one(e))
+
+    return let(entries, written)
+
+
+def _member(doc: Column, key: Column) -> Column:
+    """Text of one member of a JSON object; names that a path cannot hold are looked up in the whole map."""
+    plain = F.call_function("get_json_object", doc, F.concat(F.lit("$['"), key, F.lit("']")))
+    return F.when(key.rlike(r"^[^'\[\]*?]+$"), plain).otherwise(F.element_at(last_wins(text_map(doc)), key))
 
 
 def _read_rescue(spark, paths, spec: TableSpec, stream, glob, max_files, max_bytes) -> DataFrame:
-    # a repeated name inside an object is legal JSON: the last one counts, as in Spark's JSON source
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     r = _reader(spark, "text", stream, glob, max_files, max_bytes).option("wholetext", "true")
-    raw = (r.load(paths[0]) if stream else r.load(paths)).select(
-        F.col("value"), F.col("_metadata.file_path").alias(SOURCE_FILE), F.try_parse_json("value").alias("_json")
-    )
+    raw = (r.load(paths[0]) if stream else r.load(paths)).select(F.col("value"), F.col("_metadata.file_path").alias(SOURCE_FILE))
     raw = raw.where(F.col("value").rlike(r"\S"))  # a blank file holds no document, as on the fast path
-    listed = F.try_variant_get(F.col("_json"), "$", "array<variant>")
-    docs = raw.select(
-        SOURCE_FILE,
-        F.when(F.col("_json").isNull(), F.col("value")).alias("_text"),
-        F.explode(F.when(listed.isNull(), F.array("_json")).otherwise(listed)).alias("_doc"),  # an empty list has no rows
+    raw = raw.select(SOURCE_FILE, "value", quoted_numbers(F.col("value")).alias("_text"))
+    listed = F.when(F.col("_text").rlike(r"^\s*\["), F.from_json("_text", "array<string>"))
+    raw = raw.select(SOURCE_FILE, "value", F.coalesce(listed, F.array("_text")).alias("_docs"))
+    docs = raw.select(SOURCE_FILE, "value", F.explode_outer("_docs").alias("_doc")).where(F.col("_doc").isNotNull())  # an empty list has no rows
+
+    doc, items, fields = F.col("_doc"), spec.items, spec.read_schema.fields
+    shape = item_shape(spec.read_schema[items].dataType.elementType)
+    nested = [f.name for f in fields if isinstance(f.dataType, StructType)]
+    typed = StructType([StructField(items, ArrayType(shape)), *[StructField(n, MapType(StringType(), StringType())) for n in nested]])
+    docs = docs.select(
+        SOURCE_FILE, "value", "_doc", F.json_object_keys(doc).alias("_keys"), F.from_json(doc, typed).alias("_typed"),
+        F.from_json(doc, f"`{items}` array<{TEXTS}>").alias("_maps"),
+    )
+    keys, typed_items, maps = F.col("_keys"), F.col("_typed").getField(items), F.col("_maps").getField(items)
+    zipped = F.arrays_zip(typed_items.alias("typed"), maps.alias("all"))
+    # NULL keys: no readable object. Its text is kept once; a list's element that is no object by itself.
+    whole = F.when(doc.rlike(r"^\s*[\[{]"), F.col("value")).otherwise(doc)
+    missed = F.array_contains(keys, items) & (typed_items.isNull() | maps.isNull())
+    docs = docs.select(
+        SOURCE_FILE, "_doc", "_keys", F.when(~F.coalesce(missed, F.lit(False)), zipped).alias("_items"), F.when(keys.isNull(), whole).alias("_doc_rescue"),
+        F.when(missed, _member(doc, F.lit(items))).alias("_list"),
+        *[F.col("_typed").getField(n).alias(f"_in_{i}") for i, n in enumerate(nested)],
+        *[
+            F.when(F.array_contains(keys, n) & F.col("_typed").getField(n).isNull(), _member(doc, F.lit(n))).alias(f"_misfit_{i}")
+            for i, n in enumerate(nested)
+        ],
     )
-    doc = F.col("_doc")
-    is_object = F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
-    return docs.select(
-        SOURCE_FILE,
-        F.coalesce(F.col("_text"), F.when(~is_object, F.to_json(doc))).alias("_doc_rescue"),
-        F.when(is_object, unknown_fields(doc, spec.read_schema, spec.ignore_unknown)).alias("_doc_unknown"),
-        F.try_variant_get(doc, f"$.{spec.items}", "array<variant>").alias("_raw_items"),
+    # a list in which an element (or a field of one) is of another kind: every element is read by itself
+    docs = docs.withColumn("_loose", F.from_json("_list", "array<string>"))
+    each = F.transform("_loose", lambda x: F.struct(F.from_json(x, shape).alias("typed"), F.coalesce(text_map(x), F.create_map(F.lit(NO_OBJECT), x)).alias("all")))
+    known = [f.name for f in fields] + list(spec.ignore_unknown)
+    parts = [F.transform(unknown_keys(keys, known), lambda k: entry(k, _member(doc, k)))]
+    parts += [F.when(F.col("_list").isNotNull() & F.col("_loose").isNull(), F.array(entry(F.lit(items), F.col("_list"))))]
+    for i, n in enumerate(nested):
+        parts.append(F.when(F.col(f"_misfit_{i}").isNotNull(), F.array(entry(F.lit(n), F.col(f"_misfit_{i}")))))
+        parts.append(unknown_members(F.col(f"_in_{i}"), [f.name for f in spec.read_schema[n].dataType.fields], f"{n}."))
+    docs = docs.select(
+        SOURCE_FILE, "_doc_rescue", F.concat(*[F.coalesce(p, no_entries()) for p in parts]).alias("_doc_unknown"),
+        F.coalesce("_items", each).alias("_raw_items"),
     )
+    own_file = F.array(entry(F.lit("_file_path"), F.col(SOURCE_FILE)))
+    clash_free = F.transform("_doc_unknown", lambda e: entry(F.when(e["key"] == "_file_path", F.lit("$._file_path")).otherwise(e["key"]), e["value"]))
+    docs = docs.withColumn("_entries", F.concat(clash_free, own_file))
+    as_json = F.when(F.size("_doc_unknown") > 0, json_text(F.col("_entries")))
+    return docs.select(SOURCE_FILE, "_doc_unknown", F.coalesce("_doc_rescue", as_json).alias("_doc_json"), "_raw_items")
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:

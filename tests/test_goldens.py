@@ -370,3 +370,39 @@ def test_clustered_write_spreads_a_hot_value(spark, tmp_path):
     df = clustered(spark.range(40_000).select(hot.alias("month"), F.col("id").cast("string").alias("key")), ["month"], 8, spread=["key"])
     sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(sizes) == 8 and max(sizes) <= 2 * 40_000 / 8
+
+
+def test_rescue_keeps_numbers_as_written(spark, spec, tmp_path):
+    """Trailing zeros, exponents, 40 digits; names and strings that look like members with numbers stay as they are."""
+    from ledgerflow.plans.medallion import bronze_batch
+
+    numbers = ["1.50", "1000.00", "1E+3", "-0.0", "12345678901234567890.12345678901234567890123", "7"]
+    items = []
+    for i, n in enumerate(numbers):
+        one = item(f"n{i}", type='a":5,"b', transactionType=':5, x', transactionTypeAdditionalInfo='{"k":1.50}')
+        text = json.dumps(one)
+        for field in ("transactionValue", "incomeTax"):
+            text = text.replace(json.dumps(one[field]), '{"amount" : ' + n + ', "currency":"EUR"}')
+        items.append(text[:-1] + f',"quota,":":5,","note\\"":{n},"deep":{{"x":{n}}}}}')
+    (tmp_path / "a.json").write_text('{"data":[' + ",".join(items) + '],"version":1.10}')
+    fast = {r.transaction_id: r for r in bronze_batch(spark, str(tmp_path), spec).collect()}
+    slow = {r.transaction_id: r for r in bronze_batch(spark, str(tmp_path), spec, rescue=True).collect()}
+    assert len(fast) == len(slow) == len(numbers)
+    for i, n in enumerate(numbers):
+        for rows in (fast, slow):
+            r = rows[f"n{i}"]
+            assert (r.transaction_value_amount, r.income_tax_amount) == (n, n)
+            assert (r.type, r.transaction_type, r.transaction_type_additional_info) == ('a":5,"b', ":5, x", '{"k":1.50}')
+        rescued = json.loads(slow[f"n{i}"]["_rescued_data"])
+        assert rescued["quota,"] == ":5," and rescued["version"] == "1.10" and json.loads(rescued["deep"]) == {"x": n}
+
+
+def test_rescue_keeps_elements_that_are_no_objects(spark, spec, tmp_path):
+    from ledgerflow.plans.medallion import bronze_batch
+
+    (tmp_path / "a.json").write_text('{"data":[' + json.dumps(item("one")) + ',7,"x"]}')
+    (tmp_path / "b.json").write_text('{"data":"none"}')
+    rows = bronze_batch(spark, str(tmp_path), spec, rescue=True).collect()
+    found = sorted((r.transaction_id or "", (json.loads(r["_rescued_data"]) if r["_rescued_data"] else {}).get("$item") or "") for r in rows if r.source_file.endswith("a.json"))
+    assert found == [("", "7"), ("", "x"), ("one", "")]
+    assert [json.loads(r["_rescued_data"])["data"] for r in rows if r.source_file.endswith("b.json")] == ["none"]

@@ -127,9 +127,34 @@ def member_filter(keys: DataFrame, cells_per_row: int = CELLS_PER_ROW, max_cells
     return _filter(keys, False, cells_per_row, max_cells)
 
 
+#: more files than this are matched by a shuffle instead of a broadcast of their names
+FILES_SENT = 100_000
+_ROW_BITS = 40
+
+
 def with_rid(docs: DataFrame, rid: str) -> DataFrame:
-    """``docs`` plus a row number that every scan of the same stored table gives alike."""
-    return docs.withColumn(rid, F.monotonically_increasing_id())
+    """``docs`` (a scan of stored files) plus a row number that every scan of them gives alike.
+
+    It is made of the file's place in the sorted file list and the row's place in its file, so it depends neither on
+    how a scan is split nor on the executors there are. A frame without files (built in the session) is numbered by
+    partition, which its own rows fix.
+    """
+    spark, path, at, no = docs.sparkSession, fresh(docs, "lf_path"), fresh(docs, "lf_at"), fresh(docs, "lf_no")
+    if not docs.inputFiles():
+        return docs.withColumn(rid, F.monotonically_increasing_id())
+    # names as the scan itself gives them, from the files' footers (no column is read)
+    files = sorted(r[0] for r in docs.select(F.col("_metadata.file_path")).distinct().collect())
+    names = spark.createDataFrame(list(enumerate(files)), f"{no} long, {path} string")
+    rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(at))
+    rows = rows.join(F.broadcast(names) if len(files) <= FILES_SENT else names, path, "left")
+    number = F.when(F.col(no).isNull(), F.raise_error(F.lit("a file is missing in the list of input files"))).otherwise(F.shiftleft(no, _ROW_BITS) + F.col(at))
+    return rows.select(*docs.columns, number.cast("long").alias(rid))
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """rid, doc_id, text of ``docs``, whatever other columns it has."""
+    rid = fresh(docs, "lf_rid")
+    return with_rid(docs, rid).select(F.col(rid).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def take_rows(rows: DataFrame, key: str, keys: DataFrame, how: str = "inner") -> DataFrame:

@@ -100,6 +100,19 @@ def lean(task):
     return run
 
 
+def release() -> None:
+    """Hand memory that a fit has freed back to the system (a no-op where the C library cannot)."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 @dataclass
 class Chunk:
     """``n`` whole documents from row ``first`` of a batch, as one byte array."""

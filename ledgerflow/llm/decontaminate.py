@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerflow.llm.bloom import remove_rows, with_rid
+from ledgerflow.llm.bloom import numbered, remove_rows, with_rid
 from ledgerflow.llm.common import Chunk, byte_class, chunks, fresh, lean, ship, spans_of, stored, text_column, words_of
 
 WINDOW = 10
@@ -268,7 +268,7 @@ def contamination(docs: DataFrame, bench: DataFrame, width: int = WINDOW, block_
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = with_rid(docs.select("doc_id", "text"), "rid").select("rid", "doc_id", "text")
+    rows = numbered(docs).select("rid", "doc_id", "text")
     items = bench.select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1

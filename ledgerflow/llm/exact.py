@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.bloom import remove_rows, repeat_filter, with_rid
+from ledgerflow.llm.bloom import numbered, remove_rows, repeat_filter
 from ledgerflow.llm.common import stored
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -29,6 +29,10 @@ def _digest(text_col: str):
     return F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return numbered(docs, id_col, text_col).select("doc_id", _digest("text").alias("digest"), "rid")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -37,7 +41,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     doc_id exactly one stays. An empty table gives an empty result. Columns other than the two named
     are ignored, whatever their names.
     """
-    rows = with_rid(docs.select(F.col(id_col).alias("doc_id"), _digest(text_col).alias("digest")), "rid")
+    rows = _keyed(docs, id_col, text_col)
     rows = stored(rows.withColumn("h", F.xxhash64("digest")), "exact-digests")
     maybe_repeated = repeat_filter(rows.select("h"))
     rows = stored(rows.withColumn("maybe", maybe_repeated("h")).drop("h"), "exact-flagged")
@@ -62,7 +66,7 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (a stored table) that stay, with its columns; ties and nulls as in :func:`exact_groups`."""
-    keys = with_rid(docs.select(F.col(id_col).alias("doc_id"), _digest(text_col).alias("digest")), "rid")
+    keys = _keyed(docs, id_col, text_col)
     keys = stored(keys.withColumn("h", F.xxhash64("digest")), "exact-keys")
     maybe = keys.where(repeat_filter(keys.select("h"))("h"))
     groups = stored(_groups(maybe).where("group_size > 1"), "exact-groups")

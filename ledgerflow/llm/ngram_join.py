@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.bloom import member_filter, remove_rows, with_rid
+from ledgerflow.llm.bloom import member_filter, numbered, remove_rows
 from ledgerflow.llm.common import Chunk, byte_class, chunks, lean, mix64, ship, stored, text_column, words_of
 from ledgerflow.llm.components import components
 
@@ -132,7 +132,7 @@ def _near_enough(size_a: str, parity_a: str, size_b: str, parity_b: str, percent
 
 def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity, rows (block row digests)."""
-    rows = with_rid(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid").select("rid", "doc_id", "text")
+    rows = numbered(docs).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, grams) for the row numbers in ``wanted`` (column node): sorted distinct n-gram hashes."""
-    rows = with_rid(docs.select("text"), "node").select("node", "text")
+    rows = numbered(docs).select(F.col("rid").alias("node"), "text")
     maybe = member_filter(wanted).plain
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

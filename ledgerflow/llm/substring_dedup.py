@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerflow.llm.bloom import member_filter, take_rows, with_rid
+from ledgerflow.llm.bloom import member_filter, numbered, take_rows
 from ledgerflow.llm.common import Chunk, chunks, inverse_powers, lean, mix64, prefix_sums, ship, spans_of, stored, text_column
 
 LENGTH = 400
@@ -308,7 +308,7 @@ def _by_digest(texts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
     """(rid, spans) of the rows with repeated windows; spans are unmerged (start, end) byte ranges."""
     ship(docs.sparkSession)
-    rows = with_rid(docs.select("text"), "rid").select("rid", "text").where(F.octet_length("text") >= length)
+    rows = numbered(docs).select("rid", "text").where(F.octet_length("text") >= length)
     shared = _grams(rows, length).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     shared = stored(shared, "substring-grams")
     runs = stored(_runs(rows, member_filter(shared).plain, length), "substring-runs")
@@ -332,7 +332,7 @@ def _class_texts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """One run's bytes per class: gram, classes, c1, c2, windows, bytes. Only rows that hold such a run shuffle."""
     wanted = classes.select(F.col("at.rid").alias("rid"), F.struct("gram", "classes", "c1", "c2", "windows", F.col("at.start").alias("start")).alias("run"))
     wanted = stored(wanted.groupBy("rid").agg(F.collect_list("run").alias("runs")), "substring-wanted")
-    rows = take_rows(with_rid(docs.select("text"), "rid"), "rid", wanted)
+    rows = take_rows(numbered(docs).select("rid", "text"), "rid", wanted)
     rows = rows.select(F.encode("text", "UTF-8").alias("raw"), F.explode("runs").alias("run"))
     piece = F.expr(f"substring(raw, cast(run.start as int) + 1, run.windows - 1 + {length})")
     return rows.select("run.gram", "run.classes", "run.c1", "run.c2", "run.windows", piece.alias("bytes"))
@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP
     be a stored table.
     """
     spans = stored(repeated_spans(docs, length, group_max), "substring-spans")
-    rows = with_rid(docs.select("doc_id", "text"), "rid").withColumn("maybe", member_filter(spans.select("rid"))("rid"))
+    rows = numbered(docs).withColumn("maybe", member_filter(spans.select("rid"))("rid"))
     raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     zero = F.lit(0).cast("long")
     whole = rows.where(~F.col("maybe")).select(

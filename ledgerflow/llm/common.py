@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import work_dir
+from ledgerflow.session import Fs, work_dir
 
 CHUNK_BYTES = 1 << 20
 ARROW_LIMIT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
@@ -83,7 +83,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(ARROW_LIMIT)
         else:
             spark.conf.set(ARROW_LIMIT, before)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._lf_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that no frame still to be run reads (later tables are files of their own)."""
+    for table in tables:
+        Fs(table.sparkSession).delete(table._lf_path)
 
 
 def lean(task):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import stored
+from ledgerflow.llm.common import discard, stored
 
 
 def _signature(edges: DataFrame):
@@ -31,7 +31,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        now = stored(small.where("u != v").distinct(), name)
+        now, last = stored(small.where("u != v").distinct(), name), now
+        discard(last)
         before, state = state, _signature(now)
         if state == before:
             break

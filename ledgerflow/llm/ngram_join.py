@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.bloom import member_filter, numbered, remove_rows
-from ledgerflow.llm.common import Chunk, byte_class, chunks, lean, mix64, ship, stored, text_column, words_of
+from ledgerflow.llm.common import Chunk, byte_class, chunks, discard, lean, mix64, ship, stored, text_column, words_of
 from ledgerflow.llm.components import components
 
 NGRAM = 3
@@ -223,7 +223,9 @@ def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
     rows = parts.groupBy("row").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
     rows = stored(rows.where("parts > 1").select("row", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("across")), "ngram-open")
     entries, across = rows.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum("across"), F.lit(0))).first()
-    return stored(placed.join(rows.select("row"), "row", "left_semi"), "ngram-opened"), entries, across
+    opened = stored(placed.join(rows.select("row"), "row", "left_semi"), "ngram-opened")
+    discard(placed, rows)
+    return opened, entries, across
 
 
 def _some_pairs(opened: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -255,16 +257,21 @@ def _linked(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     first = held.where("hub < node").groupBy("node").agg(F.min("hub").alias("hub"))
     pairs = first.select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    links, turn, last = None, 0, None
+    links, turn, last, table = None, 0, None, held
     while True:
-        more = stored(_verified(stored(pairs, "ngram-pairs"), sets, percent), "ngram-links")
+        tried = stored(pairs, "ngram-pairs")
+        more = stored(_verified(tried, sets, percent), "ngram-links")
+        discard(tried)
         links = more if links is None else links.unionByName(more)
         roots = stored(components(links), "ngram-roots")
         if turn < 0:
             return roots
-        opened, entries, across = _opened(held, roots)
+        before, (opened, entries, across) = table, _opened(held, roots)
+        table = opened
+        discard(before)
         if not across:
             return roots
+        discard(roots)
         falling = last is None or across < last * 7 // 10
         held = opened.drop("root")  # rows without a pair across components stay so
         if across > entries and falling:
@@ -294,10 +301,14 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     held = blocks.where(member_filter(shared)("row")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
     held = stored(held.withColumnRenamed("rid", "node"), "ngram-held")
 
+    discard(shared)
     hubs = held.groupBy("row").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = stored(held.join(stored(hubs, "ngram-hubs"), "row"), "ngram-held")
+    loose, hubs = held, stored(hubs, "ngram-hubs")
+    held = stored(held.join(hubs, "row"), "ngram-held")
+    discard(loose, hubs)
     sets = stored(_sets(docs, stored(held.select("node").distinct(), "ngram-wanted"), n), "ngram-sets")
     roots = _linked(held, sets, percent)
+    discard(sets)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -191,11 +191,11 @@ def test_cut_spans(spark, tmp_path):
 # --- n-gram join -----------------------------------------------------------------------------------------
 
 
-def brute_components(rows, percent):
+def brute_components(rows, percent, n=3):
     sets = {}
     for doc, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
-        sets[doc] = frozenset(zip(w, w[1:], w[2:])) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+        sets[doc] = frozenset(zip(*(w[i:] for i in range(n)))) if len(w) >= n else frozenset([tuple(w)] if w else [])
     ids = sorted(sets)
     root = {d: d for d in ids}
 

@@ -34,7 +34,7 @@ def test_pipeline_brute_force(spark):
     for d, t in rows:
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), (d, t))
     rows = sorted(first.values())
-    near = brute_components(rows, 90)
+    near = brute_components(rows, 80, 5)
     rows = [(d, t) for d, t in rows if near[d][1] == d]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     clean = {d for d, _, n, _ in brute_contamination(rows, items, 10) if n == 0}

@@ -3,6 +3,10 @@
 toxicity (documents it rejects go) -> exact dedup (one of each group stays) -> n-gram Jaccard join (one
 document of each group of near copies stays) -> benchmark decontamination (documents that hold a
 benchmark passage go) -> SentencePiece ids (and the decoded text).
+
+Every stage takes the rows as they are: a null text counts as empty and is kept by all stages (one of them after exact
+dedup), a null or repeated doc_id names its rows no less, columns beside doc_id and text pass through whatever their
+names, an empty table gives an empty one, and without labels of both classes the toxicity stage follows the only class seen.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.drop_near_copies(docs)
+    """Near copies share four fifths of their five-word shingles; one of each group stays."""
+    return ngram_join.drop_near_copies(docs, n=5, percent=80)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,8 @@ from ledgerflow.session import Fs, work_dir
 CHUNK_BYTES = 1 << 20
 ARROW_LIMIT, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: byte classes of ASCII texts; bytes of 0x80 and more belong to letters
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -70,19 +72,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     While it is written, Arrow batches hold at most ``ARROW_BYTES``, so rows with long texts or sets
-    do not add up to a large batch on both sides of a Python task.
+    do not add up to a large batch on both sides of a Python task. Once it is written, its shuffle files go:
+    what follows reads the table.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    before = spark.conf.get(ARROW_LIMIT, None)
-    spark.conf.set(ARROW_LIMIT, str(ARROW_BYTES))
+    meanwhile = {ARROW_LIMIT: str(ARROW_BYTES), SHUFFLE_CLEANUP: "true"}
+    before = {k: spark.conf.get(k, None) for k in meanwhile}
+    for k, v in meanwhile.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(ARROW_LIMIT)
-        else:
-            spark.conf.set(ARROW_LIMIT, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     back = spark.read.schema(df.schema).parquet(path)
     back._lf_path = path
     return back

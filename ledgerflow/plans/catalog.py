@@ -8,6 +8,7 @@ session's checkpoint folder. Non-deterministic columns (``source_file``,
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +23,7 @@ from ledgerflow.operators.quality import (
     REASON,
     expect_all_or_drop,
     keep_rejected,
+    rejected_rows,
     rule_counts,
     split_counts,
     tag_failures,
@@ -38,7 +40,9 @@ from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs, work_dir
 from ledgerflow.sources.landing import list_files
 from ledgerflow.spec import SOURCE_FILE, transactions_spec
+from ledgerflow.streaming import stateful
 from ledgerflow.streaming.bronze import run_bronze
+from ledgerflow.streaming.silver import read_bronze_stream
 
 SPEC = transactions_spec()
 DET_BRONZE = SPEC.business_columns + ["transaction_conversion_month"]
@@ -301,6 +305,38 @@ def upsert_compacted(spark, sf):
     return _events_table(spark, sf, OUT_OF_ORDER, compact_after=(1, 3)).current().select(*EVENT_COLS)
 
 
+def _arrives(spark, sf, source: str, batches) -> None:
+    for b in batches:
+        events_batch(spark, sf, b).select(*EVENT_COLS).write.parquet(f"{source}/arrival-{uuid.uuid4().hex[:8]}")
+
+
+def upsert_stateful(spark, sf):
+    """The same batches through the stateful stream, stopped and folded after three of them, then restarted."""
+    source, log, ckpt = work_dir(spark, "changes"), work_dir(spark, "winners"), work_dir(spark, "ckpt")
+    schema = _t(spark, sf, "events").select(*EVENT_COLS).schema
+    for part in (OUT_OF_ORDER[:3], OUT_OF_ORDER[3:]):
+        _arrives(spark, sf, source, part)
+        changes = stateful.read_files(spark, source, schema, max_files=1).drop(stateful.ARRIVED)
+        stateful.start_upsert(changes, EVENT_KEYS, EVENT_SEQ, log, ckpt).awaitTermination()
+        if part == OUT_OF_ORDER[:3]:
+            stateful.snapshot(spark, log, EVENT_KEYS)
+    return stateful.current(spark, log, EVENT_KEYS).select(*EVENT_COLS)
+
+
+def replay_filtered(spark, sf):
+    """Deliveries that pass the replay filter: batch 1 comes a second time, after a restart, and passes once."""
+    source, out, ckpt = work_dir(spark, "deliveries"), work_dir(spark, "passed"), work_dir(spark, "ckpt")
+    schema = _t(spark, sf, "events").select(*EVENT_COLS).schema
+    for part in ((0, 1, 2), (1, 3, 4)):
+        _arrives(spark, sf, source, part)
+        passed = stateful.once(stateful.read_files(spark, source, schema), ["event_id"])
+        write = passed.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True)
+        with stateful.state_in_rocksdb(spark):
+            query = write.start()
+        query.awaitTermination()
+    return spark.read.parquet(out).select(*EVENT_COLS)
+
+
 def upsert_actions(spark, sf):
     table = UpsertTable(spark, work_dir(spark, "events-actions"), EVENT_KEYS, EVENT_SEQ, buckets=16)
     counts = []
@@ -380,6 +416,21 @@ def silver_metrics(spark, sf):
     )
 
 
+def stream_observed_counts(spark, sf):
+    """The batch counts taken from the progress of one plain streaming query, which writes the quarantine."""
+    bronze = _stream_bronze(spark, landing_fixture(spark, sf))
+    rows = silver_cast(read_bronze_stream(spark, bronze, SPEC, max_files=2), SPEC)
+
+    def start(observed):
+        rejected = to_quarantine(rejected_rows(observed, SPEC.rule_map), SPEC.quarantine_exclude)
+        w = rejected.writeStream.format("parquet").option("path", work_dir(spark, "quarantine"))
+        return w.option("checkpointLocation", work_dir(spark, "ckpt")).trigger(availableNow=True).start()
+
+    counts = stateful.run_observed(rows, SPEC.rule_map, "silver", start)
+    per_batch = spark.createDataFrame(list(counts.values()), "n_input long, n_valid long, failed_valid_business_key long")
+    return per_batch.agg(*[F.sum(c).alias(c) for c in per_batch.columns])
+
+
 def stream_restart(spark, sf):
     lineitem = _t(spark, sf, "lineitem")
     landing = work_dir(spark, "landing")
@@ -442,10 +493,13 @@ QUERIES = {
     "upsert_actions": upsert_actions,
     "upsert_ties": upsert_ties,
     "upsert_compacted": upsert_compacted,
+    "upsert_stateful": upsert_stateful,
+    "replay_filtered": replay_filtered,
     "silver_key_unique": silver_key_unique,
     "silver_end_to_end": silver_end_to_end,
     "quarantine_end_to_end": quarantine_end_to_end,
     "silver_metrics": silver_metrics,
+    "stream_observed_counts": stream_observed_counts,
     "stream_restart": stream_restart,
     "schema_contract": schema_contract,
     "clustered_write": clustered_write,
@@ -569,6 +623,14 @@ _RESCUED_SQL = (
 )
 
 
+_METRICS_SQL = (
+    f"select cast(count(*) as bigint) as n_input, "
+    f"cast(count(*) filter (where {_rule(SPEC.rule_map['valid_business_key'])}) as bigint) as n_valid, "
+    f"cast(count(*) filter (where not {_rule(SPEC.rule_map['valid_business_key'])}) as bigint) "
+    f"as failed_valid_business_key from ({_casted_sql()})"
+)
+
+
 ORACLES = {
     "landing_ingest": f"select {_BRONZE_COLS} from ({_l_sql()})",
     "landing_rate_limited": f"select {_BRONZE_COLS}, true as batches_as_bound from ({_l_sql()})",
@@ -635,6 +697,8 @@ ORACLES = {
     "upsert_out_of_order": _EVENTS_LATEST,
     "upsert_replay": _EVENTS_LATEST,
     "upsert_compacted": _EVENTS_LATEST,
+    "upsert_stateful": _EVENTS_LATEST,
+    "replay_filtered": f"select {', '.join(EVENT_COLS)} from events",
     "upsert_actions": _actions_sql(),
     "upsert_ties": (
         "select p as plan, o_orderkey, case when o_orderkey % 2 = 0 then 'b0' when o_orderkey % 3 = 0 then 'a1' else 'a0' end as won "
@@ -652,12 +716,8 @@ ORACLES = {
         f"select client_id, transaction_id, 'valid_business_key' as failure_reason from ({_casted_sql()}) "
         f"where not {_rule(SPEC.rule_map['valid_business_key'])}"
     ),
-    "silver_metrics": (
-        f"select cast(count(*) as bigint) as n_input, "
-        f"cast(count(*) filter (where {_rule(SPEC.rule_map['valid_business_key'])}) as bigint) as n_valid, "
-        f"cast(count(*) filter (where not {_rule(SPEC.rule_map['valid_business_key'])}) as bigint) "
-        f"as failed_valid_business_key from ({_casted_sql()})"
-    ),
+    "silver_metrics": _METRICS_SQL,
+    "stream_observed_counts": _METRICS_SQL,
     "stream_restart": f"select {_BRONZE_COLS} from ({_l_sql()})",
     "schema_contract": f"select *, true as as_declared from ({_VALID_SQL})",
     "clustered_write": f"select transaction_conversion_month, client_id, transaction_id, false as overlaps from ({_l_sql()})",

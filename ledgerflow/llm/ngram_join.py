@@ -198,9 +198,9 @@ def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets reach the similarity."""
-    a = sets.select(F.col("node").alias("u"), F.col("grams").alias("gu"))
-    b = sets.select(F.col("node").alias("v"), F.col("grams").alias("gv"))
+    """The pairs (u, v; a stored table) whose sets reach the similarity; sets of no pair never shuffle."""
+    a = sets.where(member_filter(pairs.select("u"))("node")).select(F.col("node").alias("u"), F.col("grams").alias("gu"))
+    b = sets.where(member_filter(pairs.select("v"))("node")).select(F.col("node").alias("v"), F.col("grams").alias("gv"))
     both = pairs.join(a, "u").join(b, "v").select("u", "v", "gu", "gv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,17 +246,16 @@ def _all_pairs(opened: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("u"), "v").distinct()
 
 
-def _linked(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n, hub).
+def _linked(held: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n).
 
-    First every node is tried with the smallest node it shares a block row with. Then, while the pairs
+    The pairs ``first`` (u, v), each node with the smallest one near enough of a shared row, are tried at once. Then, while the pairs
     left across components outnumber the entries and keep falling, each node is tried with one other
     node per shared row and turn, so families whose members are close to some others only grow
     together at a cost linear in their size. Last, every pair that is left is tried: the result
     never depends on the turns.
     """
-    first = held.where("hub < node").groupBy("node").agg(F.min("hub").alias("hub"))
-    pairs = first.select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    pairs = first
     links, turn, last, table = None, 0, None, held
     while True:
         tried = stored(pairs, "ngram-pairs")
@@ -293,7 +292,8 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     rows = stored(_sketch(docs, n, percent), "ngram-sketch")
     # one node per distinct set; empty sets stay apart
     key = ["n_shingles", "k1", "k2"]
-    members = rows.where("n_shingles > 0").select("rid", "doc_id", *key)
+    slim = stored(rows.select("rid", "doc_id", *key), "ngram-ids")
+    members = slim.where("n_shingles > 0")
     nodes = stored(members.groupBy(*key).agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "ngram-nodes")
 
     blocks = rows.select("rid", F.col("n_shingles").alias("size"), "parity", F.explode("rows").alias("row"))
@@ -301,20 +301,22 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     held = blocks.where(member_filter(shared)("row")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
     held = stored(held.withColumnRenamed("rid", "node"), "ngram-held")
 
-    discard(shared)
-    hubs = held.groupBy("row").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    discard(shared, rows)
+    hubs = held.groupBy("row").agg(F.min(F.struct("node", "size", "parity")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     loose, hubs = held, stored(hubs, "ngram-hubs")
-    held = stored(held.join(hubs, "row"), "ngram-held")
+    held = stored(held.join(hubs.select("row", "n"), "row"), "ngram-held")
+    near = loose.join(hubs, "row").where("hub.node < node").where(_near_enough("size", "parity", "hub.size", "hub.parity", percent))
+    first = stored(near.groupBy("node").agg(F.min("hub.node").alias("v")).select(F.col("node").alias("u"), "v"), "ngram-first")
     discard(loose, hubs)
     sets = stored(_sets(docs, stored(held.select("node").distinct(), "ngram-wanted"), n), "ngram-sets")
-    roots = _linked(held, sets, percent)
+    roots = _linked(held, first, sets, percent)
     discard(sets)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(named.join(ids, "root").select(*key, "root", "component_id"), "ngram-named")
     linked = members.join(named, key).select("rid", "doc_id", "n_shingles", "root", "component_id")
-    alone = rows.where("n_shingles = 0").select(
+    alone = slim.where("n_shingles = 0").select(
         "rid", "doc_id", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id")
     )
     return linked.unionByName(alone)

@@ -134,7 +134,8 @@ def train(pairs: list[tuple], steps: int = 360, batch: int = 256, rate: float =
     k = len(usable)
     number = np.full(BUCKETS, k, np.int32)
     number[usable] = np.arange(k)
-    parts = [(number[h], s) for h, s in parts]
+    for h, _ in parts:
+        h[:] = number[h]
     order = np.random.default_rng(5)
     w, b = np.zeros(k + 1), -4.0
     m, v, mb, vb, t = np.zeros(k + 1), np.zeros(k + 1), 0.0, 0.0, 0

@@ -30,16 +30,21 @@ from ledgerflow.operators.quality import (
     to_quarantine,
 )
 from ledgerflow.plans.fixtures import LINEITEM_ORDER, LONG_DIGITS, documents, landing_fixture, transaction_items, write_documents
+from ledgerflow.plans.bucketed import BucketedTable
 from ledgerflow.plans.medallion import (
     bronze_batch,
+    process_silver_batch,
+    publish_silver,
     run_pipeline,
     silver_current,
+    silver_table,
 )
 from ledgerflow.plans.sink import conform, write_clustered
 from ledgerflow.plans.upsert import UpsertTable
+from ledgerflow.plans.zorder import file_ranges, zordered
 from ledgerflow.session import Fs, work_dir
 from ledgerflow.sources.landing import list_files
-from ledgerflow.spec import SOURCE_FILE, transactions_spec
+from ledgerflow.spec import INGESTION_TS, SOURCE_FILE, transactions_spec
 from ledgerflow.streaming import stateful
 from ledgerflow.streaming.bronze import run_bronze
 from ledgerflow.streaming.silver import read_bronze_stream
@@ -337,6 +342,16 @@ def replay_filtered(spark, sf):
     return spark.read.parquet(out).select(*EVENT_COLS)
 
 
+def upsert_bucketed(spark, sf):
+    """The event batches merged into a bucketed catalog table, out of order, one of them twice, the bucket count changed midway."""
+    name, root = f"events_{uuid.uuid4().hex[:12]}", work_dir(spark, "bucketed")
+    schema = _t(spark, sf, "events").select(*EVENT_COLS).schema
+    for turn, b in enumerate([*OUT_OF_ORDER[:3], OUT_OF_ORDER[1], *OUT_OF_ORDER[3:]]):
+        table = BucketedTable(spark, name, schema, EVENT_KEYS, EVENT_SEQ, root, buckets=8 if turn < 3 else 16)
+        table.merge(events_batch(spark, sf, b))
+    return table.current().select(*EVENT_COLS)
+
+
 def upsert_actions(spark, sf):
     table = UpsertTable(spark, work_dir(spark, "events-actions"), EVENT_KEYS, EVENT_SEQ, buckets=16)
     counts = []
@@ -452,6 +467,69 @@ def schema_contract(spark, sf):
     return back.select(*SILVER_DET, F.lit(kept).alias("as_declared"))
 
 
+def schema_in_catalog(spark, sf):
+    """The silver table of a run, published to the catalog: the rows, and whether columns, order, types, comment and properties are as declared."""
+    table, _, _ = _end_to_end(spark, sf)
+    published = publish_silver(silver_current(table, SPEC), SPEC, f"silver_{uuid.uuid4().hex[:12]}", work_dir(spark, "published"), buckets=8)
+    schema, comment, properties = published.declared()
+    kept = [(f.name, f.dataType) for f in schema] == [(f.name, f.dataType) for f in SPEC.silver_schema()]
+    kept = kept and comment == SPEC.comment and set(SPEC.properties) <= set(properties.items())
+    return published.current().select(*SILVER_DET, F.lit(kept).alias("as_declared"))
+
+
+def audit_columns(spark, sf):
+    """Bronze rows of one batch, with whether all carry one time, which is the time of the run, and its day."""
+    before = spark.range(1).select(F.current_timestamp()).first()[0]
+    rows = spark.read.parquet(_stream_bronze(spark, landing_fixture(spark, sf)))
+    after = spark.range(1).select(F.current_timestamp()).first()[0]
+    times = rows.agg(F.min(INGESTION_TS), F.max(INGESTION_TS)).first()
+    one = times[0] == times[1] and before <= times[0] <= after
+    day_of_time = F.col("ingestion_date") == F.to_date(INGESTION_TS)
+    return rows.select("client_id", "transaction_id", F.lit(one).alias("one_time"), day_of_time.alias("day_of_time"))
+
+
+def quarantine_months(spark, sf):
+    """Rejected rows with whether their partition is the first day of the month of their own time."""
+    q = spark.read.parquet(_end_to_end(spark, sf)[1])
+    in_month = F.col("rejected_at_month") == F.trunc(F.to_date("rejected_at"), "month")
+    return q.groupBy("failure_reason", in_month.alias("in_month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def silver_empty_batch(spark, sf):
+    """The bronze rows as one batch between two empty ones, which leave neither a record nor a log of their own."""
+    bronze = _bronze_l(spark, sf)
+    path = work_dir(spark, "bronze")
+    bronze.write.parquet(path)
+    bronze = spark.read.schema(SPEC.bronze_schema()).parquet(path)
+    table, metrics = silver_table(spark, work_dir(spark, "silver"), SPEC, buckets=8), work_dir(spark, "metrics")
+    for batch_id, rows in enumerate([bronze.limit(0), bronze, bronze.limit(0)]):
+        process_silver_batch(rows, batch_id, SPEC, table, work_dir(spark, "quarantine"), metrics)
+    logged = spark.read.parquet(metrics)
+    records, empty = logged.agg(F.count(F.lit(1)), F.count_if(F.col("n_input") == 0)).first()
+    rows = silver_current(table, SPEC).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select("n_rows", F.lit(records).cast("long").alias("n_records"), F.lit(empty).cast("long").alias("n_empty_records"))
+
+
+FEW_FILES = 0.25
+
+
+def clustered_zorder(spark, sf):
+    """A filter on either column of the layout: the rows it finds, and whether files with a quarter of all rows at most may hold them."""
+    cols, path = ["transaction_conversion_month", "client_id"], work_dir(spark, "zorder")
+    zordered(_bronze_l(spark, sf), cols, partitions=64, spread=["transaction_id"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ranges = file_ranges(stored, cols)
+    files = ranges.count()
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    value = stored.where(whole).agg(F.min(F.struct("transaction_id", *cols)).alias("m")).select("m.*").first()
+    out = []
+    for c in cols:
+        touched = ranges.where((F.col(f"{c}.min") <= value[c]) & (F.col(f"{c}.max") >= value[c])).count()
+        found = stored.where(F.col(c) == value[c]).agg(F.count(F.lit(1)).alias("n_rows"))
+        out.append(found.select(F.lit(c).alias("filtered"), "n_rows", F.lit(touched <= FEW_FILES * files).alias("few_files")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def clustered_write(spark, sf):
     """Rows of the clustered write, each with whether its file's range overlaps the range before."""
     path, order = work_dir(spark, "clustered"), [*SPEC.cluster_by, "transaction_id"]
@@ -494,6 +572,7 @@ QUERIES = {
     "upsert_ties": upsert_ties,
     "upsert_compacted": upsert_compacted,
     "upsert_stateful": upsert_stateful,
+    "upsert_bucketed": upsert_bucketed,
     "replay_filtered": replay_filtered,
     "silver_key_unique": silver_key_unique,
     "silver_end_to_end": silver_end_to_end,
@@ -502,7 +581,12 @@ QUERIES = {
     "stream_observed_counts": stream_observed_counts,
     "stream_restart": stream_restart,
     "schema_contract": schema_contract,
+    "schema_in_catalog": schema_in_catalog,
+    "audit_columns": audit_columns,
+    "quarantine_months": quarantine_months,
+    "silver_empty_batch": silver_empty_batch,
     "clustered_write": clustered_write,
+    "clustered_zorder": clustered_zorder,
 }
 
 
@@ -698,6 +782,7 @@ ORACLES = {
     "upsert_replay": _EVENTS_LATEST,
     "upsert_compacted": _EVENTS_LATEST,
     "upsert_stateful": _EVENTS_LATEST,
+    "upsert_bucketed": _EVENTS_LATEST,
     "replay_filtered": f"select {', '.join(EVENT_COLS)} from events",
     "upsert_actions": _actions_sql(),
     "upsert_ties": (
@@ -721,4 +806,19 @@ ORACLES = {
     "stream_restart": f"select {_BRONZE_COLS} from ({_l_sql()})",
     "schema_contract": f"select *, true as as_declared from ({_VALID_SQL})",
     "clustered_write": f"select transaction_conversion_month, client_id, transaction_id, false as overlaps from ({_l_sql()})",
+    "schema_in_catalog": f"select *, true as as_declared from ({_SILVER_DET_SQL})",
+    "audit_columns": f"select client_id, transaction_id, true as one_time, true as day_of_time from ({_l_sql()})",
+    "quarantine_months": (
+        f"select 'valid_business_key' as failure_reason, true as in_month, count(*) as n from ({_casted_sql()}) "
+        f"where not {_rule(SPEC.rule_map['valid_business_key'])} having count(*) > 0"
+    ),
+    "silver_empty_batch": f"select count(*) as n_rows, 1::bigint as n_records, 0::bigint as n_empty_records from ({_SILVER_DET_SQL})",
+    "clustered_zorder": (
+        f"with b as (select client_id, transaction_id, transaction_conversion_month from ({_l_sql()})), "
+        "p as (select * from b where transaction_id is not null and client_id is not null and transaction_conversion_month is not null "
+        "order by transaction_id, transaction_conversion_month, client_id limit 1) "
+        + " union all ".join(
+            f"select '{c}' as filtered, count(*) as n_rows, true as few_files from b join p on b.{c} = p.{c}" for c in ("transaction_conversion_month", "client_id")
+        )
+    ),
 }

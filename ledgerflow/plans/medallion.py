@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators.casts import silver_cast
 from ledgerflow.operators.flatten import bronze_frame
 from ledgerflow.operators.quality import batch_counts, expect_all_or_drop, rejected_rows, tag_failures, to_quarantine
+from ledgerflow.plans.bucketed import BucketedTable
 from ledgerflow.plans.sink import conform, write_quarantine
 from ledgerflow.plans.upsert import UpsertTable
 from ledgerflow.session import Fs
@@ -60,6 +61,14 @@ def silver_current(table: UpsertTable, spec: TableSpec) -> DataFrame:
     return table.current().select(*spec.silver_columns)
 
 
+def publish_silver(rows: DataFrame, spec: TableSpec, name: str, root: str, buckets: int = 64) -> BucketedTable:
+    """Merge silver rows (a drained flow, or a day of it) into the catalog table ``name`` as the spec declares it."""
+    sequence = [c for c in spec.sequence_by if c in spec.silver_columns]
+    table = BucketedTable(rows.sparkSession, name, spec.silver_schema(), spec.keys, sequence, root, buckets, spec.comment, spec.properties)
+    table.merge(rows)
+    return table
+
+
 def process_silver_batch(
     batch: DataFrame,
     batch_id: int,
@@ -105,7 +114,8 @@ def process_silver_batch(
         if rejected > 0:
             log.warning("quarantined writer=%s batch=%s rows=%s path=%s", writer, batch_id, rejected, quarantine_path)
         valid = expect_all_or_drop(casted, rules).drop(*flags)
-        valid = conform(valid, valid.schema, spec.keys)  # a NULL key fails the batch, it never reaches the table
+        # the declared columns, order and types; a NULL key fails the batch, it never reaches the table
+        valid = conform(valid, spec.flow_schema(), {*spec.keys, *spec.not_null})
         if track_actions:
             metrics.update(table.actions(valid).first().asDict())
         table.append(valid, batch_id, writer=writer)

@@ -113,6 +113,12 @@ class TableSpec:
             out.append(StructField(f.name, casts.get(f.name, f.dataType), f.name not in self.not_null))
         return StructType(out)
 
+    def flow_schema(self) -> StructType:
+        """The silver contract plus the sequence columns that silver itself does not keep (the item position)."""
+        silver = self.silver_schema()
+        extra = [f for f in self.bronze_schema().fields if f.name in self.sequence_by and f.name not in silver.names]
+        return StructType([*silver.fields, *extra])
+
 
 def _money() -> StructType:
     return StructType([StructField("amount", StringType()), StructField("currency", StringType())])

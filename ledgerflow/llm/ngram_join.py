@@ -163,7 +163,8 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, grams) for the row numbers in ``wanted`` (column node): sorted distinct n-gram hashes."""
+    """(node, grams): sorted distinct n-gram hashes of the rows in ``wanted`` (column node) and of few others, which a
+    join with the wanted rows leaves out; texts of all other rows are not cut into n-grams."""
     rows = numbered(docs).select(F.col("rid").alias("node"), "text")
     maybe = member_filter(wanted).plain
 
@@ -176,7 +177,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     [batch.column(0).slice(c.first, c.n), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"]
                 )
 
-    return rows.mapInArrow(lean(run), "node long, grams array<long>").join(wanted, "node", "left_semi")
+    return rows.mapInArrow(lean(run), "node long, grams array<long>")
 
 
 def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -197,10 +198,13 @@ def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v; a stored table) whose sets reach the similarity; sets of no pair never shuffle."""
-    a = sets.where(member_filter(pairs.select("u"))("node")).select(F.col("node").alias("u"), F.col("grams").alias("gu"))
-    b = sets.where(member_filter(pairs.select("v"))("node")).select(F.col("node").alias("v"), F.col("grams").alias("gv"))
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (u, v; a stored table) whose sets reach the similarity, stored. Only the sets of pairs are made, and
+    they are gone again when the pairs are decided."""
+    tried = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct(), "ngram-tried")
+    sets = stored(_sets(docs, tried, n), "ngram-sets")
+    a = sets.select(F.col("node").alias("u"), F.col("grams").alias("gu"))
+    b = sets.select(F.col("node").alias("v"), F.col("grams").alias("gv"))
     both = pairs.join(a, "u").join(b, "v").select("u", "v", "gu", "gv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +216,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(lean(run), "u long, v long")
+    links = stored(both.mapInArrow(lean(run), "u long, v long"), "ngram-links")
+    discard(tried, sets)
+    return links
 
 
 def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
@@ -246,7 +252,7 @@ def _all_pairs(opened: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("u"), "v").distinct()
 
 
-def _linked(held: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(held: DataFrame, first: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n).
 
     The pairs ``first`` (u, v), each node with the smallest one near enough of a shared row, are tried at once. Then, while the pairs
@@ -259,7 +265,7 @@ def _linked(held: DataFrame, first: DataFrame, sets: DataFrame, percent: int) ->
     links, turn, last, table = None, 0, None, held
     while True:
         tried = stored(pairs, "ngram-pairs")
-        more = stored(_verified(tried, sets, percent), "ngram-links")
+        more = _verified(tried, docs, n, percent)
         discard(tried)
         links = more if links is None else links.unionByName(more)
         roots = stored(components(links), "ngram-roots")
@@ -308,9 +314,7 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     near = loose.join(hubs, "row").where("hub.node < node").where(_near_enough("size", "parity", "hub.size", "hub.parity", percent))
     first = stored(near.groupBy("node").agg(F.min("hub.node").alias("v")).select(F.col("node").alias("u"), "v"), "ngram-first")
     discard(loose, hubs)
-    sets = stored(_sets(docs, stored(held.select("node").distinct(), "ngram-wanted"), n), "ngram-sets")
-    roots = _linked(held, first, sets, percent)
-    discard(sets)
+    roots = _linked(held, first, docs, n, percent)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))

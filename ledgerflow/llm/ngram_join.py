@@ -12,7 +12,8 @@ entries of A A' that reach the similarity. The product is never formed whole:
   bound exact without a bucket of unrelated documents.
 * Each set also has a parity vector: one bit per hash value modulo ``PARITY_BITS``, flipped by each n-gram.
   Two vectors differ in at most as many bits as the sets differ in n-grams, so a pair whose vectors differ
-  in more bits than its sizes allow is discarded before its rows are fetched.
+  in more bits than its sizes allow is discarded before its rows are fetched. A vector this short fills up with
+  long texts, so pairs that pass are held against vectors of at least as many bits as the set has n-grams.
 * For a surviving pair overlap counts accumulate column block by column block; the pair is discarded as
   soon as the n-grams missed exceed what its two sizes allow.
 
@@ -119,9 +120,23 @@ def block_rows(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
 
 
 def parity(grams: np.ndarray) -> np.ndarray:
-    """Bit vector of the n-grams' count modulo 2 per hash value modulo ``PARITY_BITS``, as longs."""
-    odd = np.bincount((grams % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    """Bit vector of the n-grams' count modulo 2 per hash value modulo a power of two that is no less than their
+    number (nor than ``PARITY_BITS``), as bytes."""
+    bits = max(PARITY_BITS, 1 << max(len(grams) - 1, 0).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def folded(vector: np.ndarray, size: int) -> np.ndarray:
+    """The parity vector over ``size`` bytes, from one over a multiple of them."""
+    return np.bitwise_xor.reduce(vector.reshape(-1, size), axis=0)
+
+
+def parity_allows(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, percent: int) -> bool:
+    """False only if two sets surely differ in more n-grams than their sizes allow (parity vectors of any widths)."""
+    short = min(len(a), len(b))
+    differ = int(np.bitwise_count(folded(a, short) ^ folded(b, short)).sum())
+    return differ <= (size_a + size_b) * (100 - percent) // (100 + percent)
 
 
 def _near_enough(size_a: str, parity_a: str, size_b: str, parity_b: str, percent: int) -> Column:
@@ -131,9 +146,9 @@ def _near_enough(size_a: str, parity_a: str, size_b: str, parity_b: str, percent
 
 
 def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity, rows (block row digests)."""
+    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity (folded to ``PARITY_BITS``), wide (whole), rows (block row digests)."""
     rows = numbered(docs).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64()))])
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("wide", pa.binary()), ("rows", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
@@ -144,6 +159,7 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     k1 = [mix64(s).sum(dtype=np.uint64) for s in sets]
                     k2 = [mix64(s + np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64) for s in sets]
                 rows_ = [block_rows(s, classes) for s in sets]
+                wide = [parity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(c.first, c.n),
@@ -151,7 +167,8 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(np.array(k1, np.uint64).view(np.int64)),
                         pa.array(np.array(k2, np.uint64).view(np.int64)),
-                        pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
+                        pa.array([folded(v, PARITY_BITS // 8).view(np.int64) for v in wide], pa.list_(pa.int64())),
+                        pa.array([v.tobytes() for v in wide], pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows_])]).astype(np.int32)), pa.array(np.concatenate(rows_))
                         ),
@@ -159,7 +176,7 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     schema=schema,
                 )
 
-    return rows.mapInArrow(lean(run), "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, rows array<long>")
+    return rows.mapInArrow(lean(run), "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, wide binary, rows array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -198,6 +215,22 @@ def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _close(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose whole parity vectors (``wide``: node, size, wide) leave them near enough."""
+    a = wide.select(F.col("node").alias("u"), F.col("size").alias("nu"), F.col("wide").alias("wu"))
+    b = wide.select(F.col("node").alias("v"), F.col("size").alias("nv"), F.col("wide").alias("wv"))
+    both = pairs.join(a, "u").join(b, "v").select("u", "v", "nu", "nv", "wu", "wv")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_u, size_v = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            wide_u, wide_v = ([np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(k)] for k in (4, 5))
+            keep = [parity_allows(*x, percent) for x in zip(wide_u, size_u, wide_v, size_v, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(lean(run), "u long, v long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (u, v; a stored table) whose sets reach the similarity, stored. Only the sets of pairs are made, and
     they are gone again when the pairs are decided."""
@@ -252,7 +285,7 @@ def _all_pairs(opened: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("u"), "v").distinct()
 
 
-def _linked(held: DataFrame, first: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _linked(held: DataFrame, first: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n).
 
     The pairs ``first`` (u, v), each node with the smallest one near enough of a shared row, are tried at once. Then, while the pairs
@@ -265,8 +298,9 @@ def _linked(held: DataFrame, first: DataFrame, docs: DataFrame, n: int, percent:
     links, turn, last, table = None, 0, None, held
     while True:
         tried = stored(pairs, "ngram-pairs")
-        more = _verified(tried, docs, n, percent)
-        discard(tried)
+        close = stored(_close(tried, wide, percent), "ngram-close")
+        more = _verified(close, docs, n, percent)
+        discard(tried, close)
         links = more if links is None else links.unionByName(more)
         roots = stored(components(links), "ngram-roots")
         if turn < 0:
@@ -307,6 +341,7 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     held = blocks.where(member_filter(shared)("row")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
     held = stored(held.withColumnRenamed("rid", "node"), "ngram-held")
 
+    wide = stored(rows.where("n_shingles > 0").select(F.col("rid").alias("node"), F.col("n_shingles").alias("size"), "wide"), "ngram-wide")
     discard(shared, rows)
     hubs = held.groupBy("row").agg(F.min(F.struct("node", "size", "parity")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     loose, hubs = held, stored(hubs, "ngram-hubs")
@@ -314,7 +349,8 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     near = loose.join(hubs, "row").where("hub.node < node").where(_near_enough("size", "parity", "hub.size", "hub.parity", percent))
     first = stored(near.groupBy("node").agg(F.min("hub.node").alias("v")).select(F.col("node").alias("u"), "v"), "ngram-first")
     discard(loose, hubs)
-    roots = _linked(held, first, docs, n, percent)
+    roots = _linked(held, first, wide, docs, n, percent)
+    discard(wide)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -502,3 +502,22 @@ def test_length_alone_is_not_toxic():
     assert clean_score < toxicity.THRESHOLD <= hidden
     constant = toxicity.train([("bad", 1), ("fine", 1)])
     assert constant.score(next(chunks(pa.array(["any text"], pa.large_string()))))[0] >= toxicity.THRESHOLD
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parity_never_discards_a_near_pair(percent):
+    rng = np.random.default_rng(percent)
+    kept = 0
+    for n in (1, 2, 9, 60, 511, 513, 1500, 5000):
+        for _ in range(20):
+            base = rng.integers(0, 2**64, n, dtype=np.uint64)
+            other = np.unique(np.concatenate([base[rng.random(n) < rng.uniform(0.7, 1)], rng.integers(0, 2**64, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)]))
+            base = np.unique(base)
+            allows = ngram_join.parity_allows(ngram_join.parity(base), len(base), ngram_join.parity(other), len(other), percent)
+            near = ngram_join.overlaps(base, other, percent)
+            assert allows or not near
+            kept += near
+        far = rng.integers(0, 2**64, n, dtype=np.uint64)
+        if n >= 60:  # sets with nothing in common are told apart, however many n-grams they have
+            assert not ngram_join.parity_allows(ngram_join.parity(base), len(base), ngram_join.parity(np.unique(far)), n, percent)
+    assert kept > 10

@@ -6,15 +6,17 @@ Wanted: every byte covered by a ``LENGTH``-byte string (a window) that also star
    Equal windows have equal anchors at equal offsets, so only windows whose anchor gram occurs twice
    are candidates. Consecutive windows with the same anchor form a run; one hash per run (about one
    per ``(LENGTH - GRAM) / 2`` bytes) shuffles, and the rest drop out by a Bloom filter.
-2. *Classes.* Runs with equal text form a class (128-bit digest, counted with map-side combining): all
-   windows of a class of two or more runs are repeated. What is left to compare are classes of one
-   run against the other classes of the same anchor gram.
-3. *Index family.* One run per such class goes, by anchor gram, to a task that takes them batch by
-   batch. A new batch gets a suffix array of its windows, is merge-scanned against every existing level
-   for matches of ``LENGTH`` bytes, and becomes a level; levels of equal size merge, so sizes grow
-   geometrically. A family is dropped where the anchor gram changes, since nothing later can match.
-4. A gram with more than ``GROUP_MAX`` classes would be too much for one task; its windows are compared by
-   128-bit digests over all tasks instead, pre-aggregated. The result is the same.
+2. *Classes.* Runs with equal text form a class (128-bit digest, counted with map-side combining). Of each
+   class of a shared gram one run is compared, or two where the class has more; what holds for their
+   windows holds for all runs of the class.
+3. *Index family.* These runs go, by anchor gram, to tasks that take them batch by batch. A new batch gets a
+   suffix array of its windows, is merge-scanned against every existing level for matches of ``LENGTH``
+   bytes, and becomes a level; levels of equal size merge, so sizes grow geometrically. Every match comes
+   from a family. One ends after ``FAMILY_WINDOWS`` windows, where the gram changes: nothing later can match.
+4. *Hot grams.* More than ``GROUP_MAX`` classes around one gram are split before they go to a family: each run
+   is cut into pieces of half as many anchor offsets, and a piece goes by the bytes that all windows of its
+   offsets hold. Equal windows meet in the same group still, and groups get smaller; this goes on, for the
+   groups that are still hot, down to one window a piece, where all texts of a group are equal.
 
 Documents whose bytes stay never shuffle.
 """
@@ -36,6 +38,7 @@ from ledgerflow.llm.common import Chunk, chunks, inverse_powers, lean, mix64, pr
 LENGTH = 400
 GROUP_MAX = 512
 BATCH_WINDOWS = 20_000
+FAMILY_WINDOWS = 16 * BATCH_WINDOWS
 
 
 def gram_size(length: int) -> int:
@@ -87,8 +90,8 @@ def _grams(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("text").mapInArrow(lean(run), "gram long")
 
 
-_RUN = "rid long, gram long, c1 long, c2 long, start long, windows int"
-_RUN_SCHEMA = pa.schema([("rid", pa.int64()), ("gram", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("start", pa.int64()), ("windows", pa.int32())])
+_RUN = "rid long, gram long, c1 long, c2 long, start long, windows int, off int"
+_RUN_SCHEMA = pa.schema([("rid", pa.int64()), ("gram", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("start", pa.int64()), ("windows", pa.int32()), ("off", pa.int32())])
 
 
 def _runs(rows: DataFrame, maybe: tuple, length: int) -> DataFrame:
@@ -115,6 +118,7 @@ def _runs(rows: DataFrame, maybe: tuple, length: int) -> DataFrame:
                         pa.array(both[:, 1].copy()),
                         pa.array(start[keep] - c.offsets[doc[keep]]),
                         pa.array(windows[keep].astype(np.int32)),
+                        pa.array(offset[keep].astype(np.int32)),
                     ],
                     schema=_RUN_SCHEMA,
                 )
@@ -132,21 +136,6 @@ class Level:
         self.words = np.ascontiguousarray(words).view(">u8").ravel().astype(np.uint64)  # 8 bytes from every place
 
 
-def compare(a: Level, p: np.ndarray, b: Level, q: np.ndarray, length: int) -> np.ndarray:
-    """-1, 0, 1 of the ``length``-byte strings at ``p`` of ``a`` and ``q`` of ``b``."""
-    out = np.zeros(len(p), np.int8)
-    open_ = np.arange(len(p))
-    for at in [*range(0, length - 7, 8), *([max(length - 8, 0)] if length % 8 else [])]:
-        x, y = a.words[p[open_] + at], b.words[q[open_] + at]
-        differ = x != y
-        if differ.any():
-            out[open_[differ]] = np.where(x[differ] < y[differ], -1, 1)
-            open_ = open_[~differ]
-        if not len(open_):
-            break
-    return out
-
-
 def sorted_level(text: np.ndarray, starts: np.ndarray, length: int) -> Level:
     """Suffix array of the windows at ``starts``, to the depth of ``length`` bytes, by doubling: ranks of
     8-byte strings give ranks of 16 bytes and so on; neighbours that stay equal match each other."""
@@ -169,20 +158,37 @@ def sorted_level(text: np.ndarray, starts: np.ndarray, length: int) -> Level:
     return level
 
 
-def places(level: Level, other: Level, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge scan: for each window of ``other`` (sorted), its place in ``level`` and whether it is there."""
-    lo, hi = np.zeros(len(other.starts), np.int64), np.full(len(other.starts), len(level.starts))
-    found = np.zeros(len(other.starts), bool)
-    live = np.flatnonzero(lo < hi)
-    while len(live):
-        mid = (lo[live] + hi[live]) // 2
-        c = compare(level, level.starts[mid], other, other.starts[live], length)
-        found[live[c == 0]] = True
-        right = c < 0
-        lo[live[right]] = mid[right] + 1
-        hi[live[~right]] = mid[~right]
-        live = live[lo[live] < hi[live]]
-    return lo, found
+def merge_scan(a: Level, b: Level, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both sorted lists merged: the place in ``a`` of each window of ``b``, which of ``b`` are in ``a``, which of ``a`` in ``b``.
+
+    The lists are merged by their first eight bytes, then, inside each block of equal bytes that both
+    hold, by the next eight, and so on; what has no partner in its block is settled.
+    """
+    place, in_a, in_b = np.zeros(len(b.starts), np.int64), np.zeros(len(b.starts), bool), np.zeros(len(a.starts), bool)
+    ia, ib = np.arange(len(a.starts)), np.arange(len(b.starts))
+    ga, gb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)  # block of each window that is left
+    for at in [*range(0, length - 7, 8), *([max(length - 8, 0)] if length % 8 else [])]:
+        if not len(ia) or not len(ib):
+            break
+        words, rank = np.unique(np.concatenate([b.words[b.starts[ib] + at], a.words[a.starts[ia] + at]]), return_inverse=True)
+        key = np.concatenate([gb, ga]) * np.int64(len(words)) + rank  # ascending in each list
+        order = np.argsort(key, kind="stable")  # two ascending runs: one linear merge, ``b`` before its equals
+        from_a = order >= len(ib)
+        kb, ka = key[: len(ib)], key[len(ib) :]
+        before = np.cumsum(from_a)[~from_a]  # windows of ``a`` below each of ``b``
+        upto = np.cumsum(~from_a)[from_a]  # windows of ``b`` up to each of ``a``
+        found = (before < len(ia)) & (ka[np.minimum(before, len(ia) - 1)] == kb)
+        shared = (upto > 0) & (kb[np.maximum(upto - 1, 0)] == ka)
+        same_block = (before > 0) & (ga[np.maximum(before - 1, 0)] == gb)
+        place[ib] = np.where(same_block, ia[np.maximum(before - 1, 0)] + 1, ia[np.minimum(before, len(ia) - 1)])
+        block = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
+        number = np.empty(len(order), np.int64)
+        number[order] = block
+        gb, ga = number[: len(ib)][found], number[len(ib) :][shared]
+        ib, ia = ib[found], ia[shared]
+    if len(ia) and len(ib):
+        in_a[ib], in_b[ia] = True, True
+    return place, in_a, in_b
 
 
 class IndexFamily:
@@ -194,21 +200,15 @@ class IndexFamily:
     def add(self, text: np.ndarray, starts: np.ndarray) -> None:
         new = sorted_level(text, starts, self.length)
         for level in self.levels:
-            at, found = places(level, new, self.length)
+            _, found, hit = merge_scan(level, new, self.length)
             new.matched |= found
-            level.matched |= self._hit(level, at[found])
+            level.matched |= hit
         self.levels.append(new)
         while len(self.levels) > 1 and len(self.levels[-2].starts) <= 2 * len(self.levels[-1].starts):
             self.levels.append(self._merge(self.levels.pop(-2), self.levels.pop()))
 
-    def _hit(self, level: Level, at: np.ndarray) -> np.ndarray:
-        """Windows of ``level`` equal to one of those at ``at`` (the first of its equals)."""
-        out = np.zeros(len(level.starts), bool)
-        out[at] = True
-        return out
-
     def _merge(self, a: Level, b: Level) -> Level:
-        at, _ = places(a, b, self.length)
+        at = merge_scan(a, b, self.length)[0]
         place_b = at + np.arange(len(b.starts))
         starts = np.zeros(len(a.starts) + len(b.starts), np.int64)
         matched = np.zeros(len(starts), bool)
@@ -248,7 +248,7 @@ def family_matches(groups: list[tuple[bytes, int]], length: int, batch_windows:
     return [hits[edge[k] : edge[k + 1]] - bases[k] for k in range(len(groups))]
 
 
-_FOUND = "c1 long, c2 long, hits array<struct<first:int,end:int>>"
+_FOUND = "p1 long, p2 long, hits array<struct<first:int,end:int>>"
 _HITS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
 
 
@@ -259,50 +259,76 @@ def _ranges(windows: int, hits: np.ndarray) -> list[dict]:
 
 
 def _by_family(texts: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, hits) of classes by index families; ``texts``: gram, c1, c2, windows, bytes, sorted by gram."""
+    """(p1, p2, hits) of the distinct texts with repeated windows; ``texts``: gram, p1, p2, windows, n, bytes."""
 
     def solve(held):
-        hits = family_matches([(h[4], h[3]) for h in held], length)
-        found = [(h[1], h[2], _ranges(h[3], x)) for h, x in zip(held, hits, strict=True) if len(x)]
+        runs = [(h[5], h[3]) for h in held for _ in range(min(h[4], 2))]  # two of a text that occurs more than once
+        first = np.cumsum([0] + [min(h[4], 2) for h in held])[:-1]
+        hits = family_matches(runs, length)
+        found = [(h[1], h[2], _ranges(h[3], hits[k])) for h, k in zip(held, first, strict=True) if len(hits[k])]
         columns = [pa.array([f[k] for f in found], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, _HITS))]
-        return pa.RecordBatch.from_arrays(columns, names=["c1", "c2", "hits"])
+        return pa.RecordBatch.from_arrays(columns, names=["p1", "p2", "hits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         count = 0
         for batch in batches:
             for row in zip(*(col.to_pylist() for col in batch.columns), strict=True):
-                if held and row[0] != held[-1][0] and count >= BATCH_WINDOWS:
+                if held and row[0] != held[-1][0] and count >= FAMILY_WINDOWS:
                     yield solve(held)  # nothing later can match these
                     held, count = [], 0
                 held.append(row)
-                count += row[3]
+                count += row[3] * min(row[4], 2)
         if held:
             yield solve(held)
 
-    return texts.repartition("gram").sortWithinPartitions("gram").mapInArrow(lean(run), _FOUND)
+    rows = texts.select("gram", "p1", "p2", "windows", "n", "bytes")
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(lean(run), _FOUND)
+
 
+_PIECE = "gram long, p1 long, p2 long, c1 long, c2 long, n long, off int, first int, windows int, bytes binary"
+_PIECE_TYPES = (*[pa.int64()] * 6, *[pa.int32()] * 3, pa.binary())
 
-def _by_digest(texts: DataFrame, length: int) -> DataFrame:
-    """The same for grams of very many classes: window digests, counted with map-side combining."""
+
+def pieces_of(off: int, windows: int, text: bytes, length: int, width: int) -> Iterator[tuple[bytes, int, int, int]]:
+    """A run cut at multiples of ``width`` anchor offsets: core, first window, windows, block.
+
+    The core of a block is what all windows with an offset in it hold, so equal windows have equal
+    blocks and cores, wherever their runs end. The anchor is at byte ``off`` of ``text``.
+    """
+    most = length - gram_size(length)
+    for block in range((off - windows + 1) // width, off // width + 1):
+        lo, hi = block * width, min(block * width + width - 1, most)
+        first, end = off - min(off, hi), off - max(off - windows + 1, lo) + 1
+        yield text[off - lo : off - hi + length], first, end - first, block
+
+
+def _split(texts: DataFrame, length: int, width: int) -> DataFrame:
+    """Pieces of ``width`` anchor offsets; ``gram`` is the hash of the core, p1 and p2 the digest of the piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c1, c2, windows, text = (batch.column(k).to_pylist() for k in (1, 2, 3, 4))
             for k in range(batch.num_rows):
-                raw = memoryview(text[k])
-                both = np.frombuffer(b"".join(hashlib.blake2b(raw[i : i + length], digest_size=16).digest() for i in range(windows[k])), np.int64).reshape(-1, 2)
-                n = windows[k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, c1[k])), pa.array(np.full(n, c2[k])), pa.array(np.arange(n, dtype=np.int32)), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())],
-                    names=["c1", "c2", "at", "w1", "w2"],
-                )
+                c1, c2, n, off, begin, windows, text = (col[k].as_py() for col in batch.columns)
+                out = []
+                for core, first, count, block in pieces_of(off, windows, text, length, width):
+                    piece = text[first : first + count - 1 + length]
+                    mark = block.to_bytes(8, "little")
+                    key = hashlib.blake2b(core, digest_size=8, salt=mark).digest()
+                    own = hashlib.blake2b(piece, digest_size=16, salt=(off - first).to_bytes(8, "little")).digest()
+                    ids = np.frombuffer(key + own, np.int64).tolist()
+                    out.append((*ids, c1, c2, n, off - first, begin + first, count, piece))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(_PIECE_TYPES)], names=[f.split()[0] for f in _PIECE.split(", ")])
+
+    return texts.select("c1", "c2", "n", "off", "first", "windows", "bytes").mapInArrow(lean(run), _PIECE)
+
 
-    windows = stored(texts.mapInArrow(lean(run), "c1 long, c2 long, at int, w1 long, w2 long"), "substring-windows")
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    hit = windows.join(twice, ["w1", "w2"], "left_semi")
-    place = F.struct(F.col("at").alias("first"), (F.col("at") + 1).alias("end"))
-    return hit.groupBy("c1", "c2").agg(F.collect_list(place).alias("hits"))  # at most LENGTH per class
+def _groups(texts: DataFrame, group_max: int) -> tuple:
+    """Filters of the grams that need a comparison and of the hot ones (None if there are none)."""
+    groups = texts.groupBy("gram").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.least("n", F.lit(2))).alias("runs"))
+    groups = stored(groups.where("runs > 1"), "substring-groups")
+    hot = groups.where(F.col("texts") > max(group_max, 1)).select("gram")
+    return member_filter(groups.select("gram")), None if hot.isEmpty() else member_filter(hot)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
@@ -312,30 +338,39 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP
     shared = _grams(rows, length).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     shared = stored(shared, "substring-grams")
     runs = stored(_runs(rows, member_filter(shared).plain, length), "substring-runs")
-    classes = runs.groupBy("gram", "c1", "c2", "windows").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start")).alias("at"))
+    classes = runs.groupBy("gram", "c1", "c2", "windows", "off").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start")).alias("at"))
     classes = stored(classes, "substring-classes")
-    # grams that hold several classes, one of which has a single run
-    open_ = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
-    texts = stored(_class_texts(docs, classes.join(open_.select("gram", "classes"), "gram"), length), "substring-texts")
-    few = _by_family(texts.where(F.col("classes") <= group_max).select("gram", "c1", "c2", "windows", "bytes"), length)
-    many = _by_digest(texts.where(F.col("classes") > group_max).select("gram", "c1", "c2", "windows", "bytes"), length)
-    whole = F.array(F.struct(F.lit(0).alias("first"), F.col("windows").alias("end")))
-    found = few.unionByName(many).withColumnRenamed("hits", "some")
-    found = classes.join(found, ["c1", "c2"], "left").withColumn("hits", F.when(F.col("n") > 1, whole).otherwise(F.col("some")))
-    found = stored(found.where("hits is not null").select("c1", "c2", "hits"), "substring-found")
+    need, hot = _groups(classes, group_max)
+    texts = stored(_class_texts(docs, classes.where(need("gram")), length), "substring-texts")
+    width = length - gram_size(length) + 1
+    hot = hot if width > 1 else None
+    cold = texts if hot is None else texts.where(~hot("gram"))
+    found = _by_family(cold, length).select(F.col("p1").alias("c1"), F.col("p2").alias("c2"), "hits")
+    while hot is not None and width > 1:
+        width = (width + 1) // 2
+        texts = stored(_split(texts.where(hot("gram")), length, width), "substring-pieces")
+        each = texts.groupBy("gram", "p1", "p2", "windows").agg(F.sum("n").alias("n"), F.any_value("bytes").alias("bytes"))
+        each = stored(each, "substring-distinct")
+        need, hot = _groups(each, group_max)
+        ready = need("gram") if hot is None or width == 1 else need("gram") & ~hot("gram")
+        hits = texts.join(_by_family(each.where(ready), length), ["p1", "p2"])
+        moved = F.transform("hits", lambda h: F.struct((h["first"] + F.col("first")).alias("first"), (h["end"] + F.col("first")).alias("end")))
+        found = found.unionByName(hits.select("c1", "c2", moved.alias("hits")))
+    found = stored(found, "substring-found")
     spans = runs.join(found, ["c1", "c2"]).select("rid", "start", F.explode("hits").alias("hit"))
     spans = spans.select("rid", F.struct((F.col("start") + F.col("hit.first")).alias("start"), (F.col("start") + F.col("hit.end") - 1 + length).alias("end")).alias("span"))
     return spans.groupBy("rid").agg(F.collect_list("span").alias("spans"))
 
 
 def _class_texts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """One run's bytes per class: gram, classes, c1, c2, windows, bytes. Only rows that hold such a run shuffle."""
-    wanted = classes.select(F.col("at.rid").alias("rid"), F.struct("gram", "classes", "c1", "c2", "windows", F.col("at.start").alias("start")).alias("run"))
+    """One run's bytes per class, as its only piece. Only rows that hold such a run shuffle."""
+    wanted = classes.select(F.col("at.rid").alias("rid"), F.struct("gram", "c1", "c2", "n", "off", "windows", F.col("at.start").alias("start")).alias("run"))
     wanted = stored(wanted.groupBy("rid").agg(F.collect_list("run").alias("runs")), "substring-wanted")
     rows = take_rows(numbered(docs).select("rid", "text"), "rid", wanted)
     rows = rows.select(F.encode("text", "UTF-8").alias("raw"), F.explode("runs").alias("run"))
     piece = F.expr(f"substring(raw, cast(run.start as int) + 1, run.windows - 1 + {length})")
-    return rows.select("run.gram", "run.classes", "run.c1", "run.c2", "run.windows", piece.alias("bytes"))
+    own = [F.col("run.c1").alias("p1"), F.col("run.c2").alias("p2"), F.lit(0).alias("first")]
+    return rows.select("run.gram", *own, "run.c1", "run.c2", "run.n", "run.off", "run.windows", piece.alias("bytes"))
 
 
 def _kept(rows: DataFrame) -> DataFrame:

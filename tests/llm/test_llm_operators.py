@@ -317,6 +317,53 @@ def test_index_family_over_many_batches():
     assert [g.tolist() for g in got] == [[i for i in range(n) if count[t[i : i + 24]] > 1] for t, n in runs]
 
 
+def test_levels_grow_geometrically():
+    draw = random.Random(9)
+    family, added = substring_dedup.IndexFamily(24), 0
+    for _ in range(130):
+        text = np.frombuffer(bytes(draw.randrange(97, 123) for _ in range(63)), np.uint8)
+        family.add(text, np.arange(40))
+        added += 1
+        sizes = [len(level.starts) for level in family.levels]
+        assert sum(sizes) == 40 * added and len(sizes) <= added.bit_length()
+        assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+    assert not len(family.matched())
+
+
+@pytest.mark.parametrize("sizes", [(0, 5), (5, 0), (1, 300), (300, 300)])
+def test_merge_scan_against_sorted_lists(sizes):
+    draw = random.Random(sum(sizes))
+    level = []
+    for n in sizes:
+        text = np.frombuffer(bytes(draw.choice(b"ab\x00") for _ in range(n + 27)), np.uint8)
+        level.append(substring_dedup.sorted_level(text, np.arange(n), 28))
+    own = [[lv.text[p : p + 28].tobytes() for p in lv.starts] for lv in level]
+    assert [sorted(o) for o in own] == own
+    place, in_a, in_b = substring_dedup.merge_scan(*level, 28)
+    assert place.tolist() == [sum(x < y for x in own[0]) for y in own[1]]
+    assert in_a.tolist() == [y in own[0] for y in own[1]] and in_b.tolist() == [x in own[1] for x in own[0]]
+
+
+def test_nothing_is_removed_without_the_family(spark, tmp_path, monkeypatch):
+    rows = [(i, "abcdefghij" * 9) for i in range(4)] + [(9, "zabcdefghij" * 9)]
+    docs = frame(spark, tmp_path, rows)
+    assert substring_dedup.remove_repeats(docs, 40).where("n_removed > 0").count() == 5
+    monkeypatch.setattr(substring_dedup, "_by_family", lambda texts, length: spark.createDataFrame([], substring_dedup._FOUND))
+    for group_max in (512, 1):
+        assert substring_dedup.remove_repeats(docs, 40, group_max).where("n_removed > 0").count() == 0
+
+
+def test_hot_gram_is_split(spark, tmp_path):
+    """One passage just short of the length, with other bytes around it in every document, and one pair that matches."""
+    draw = random.Random(12)
+    text = lambda n: "".join(draw.choice("abcd") for _ in range(n))
+    core = text(37)
+    rows = [(i, text(30) + core + text(30)) for i in range(120)]
+    rows.append((200, rows[7][1][20:75]))
+    got = substring_dedup.remove_repeats(frame(spark, tmp_path, rows), 40, 8)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=repr) == brute_repeats(rows, 40)
+
+
 # --- tokens ----------------------------------------------------------------------------------------------
 
 

@@ -7,8 +7,9 @@ Wanted: every byte covered by a ``LENGTH``-byte string (a window) that also star
    are candidates. Consecutive windows with the same anchor form a run; one hash per run (about one
    per ``(LENGTH - GRAM) / 2`` bytes) shuffles, and the rest drop out by a Bloom filter.
 2. *Classes.* Runs with equal text form a class (128-bit digest, counted with map-side combining). Of each
-   class of a shared gram one run is compared, or two where the class has more; what holds for their
-   windows holds for all runs of the class.
+   class of a shared gram one run is compared, and of a class of more runs the ends of another (a run is
+   shorter than two windows, so its first and last window cover it); what holds for them holds for all
+   runs of the class. All windows are compared where a class of the gram has a single run, else the ends.
 3. *Index family.* These runs go, by anchor gram, to tasks that take them batch by batch. A new batch gets a
    suffix array of its windows, is merge-scanned against every existing level for matches of ``LENGTH``
    bytes, and becomes a level; levels of equal size merge, so sizes grow geometrically. Every match comes
@@ -137,27 +138,34 @@ class Level:
 
 
 def sorted_level(text: np.ndarray, starts: np.ndarray, length: int) -> Level:
-    """Suffix array of the windows at ``starts``, to the depth of ``length`` bytes, by doubling: ranks of
-    8-byte strings give ranks of 16 bytes and so on; neighbours that stay equal match each other."""
+    """Suffix array of the windows at ``starts``, to the depth of ``length`` bytes: sorted by eight bytes, then each
+    block of equals by the next eight; windows that stay equal to the end match each other."""
     level = Level(text, starts, np.zeros(len(starts), bool))
-    n = len(text)
-    rank = np.unique(level.words, return_inverse=True)[1].astype(np.int64)
-    depth = 8
-    while depth < length:
-        step = min(depth, length - depth)
-        key = rank * np.int64(n + 1)
-        key[: n - step] += rank[step:] + 1
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        depth += step
-    order = np.argsort(rank[starts], kind="stable")
-    level.starts = starts[order]
-    own = rank[level.starts]
-    same = np.zeros(len(own) + 1, bool)
-    same[1:-1] = own[1:] == own[:-1]
-    level.matched = same[:-1] | same[1:]
+    rank, live = np.zeros(len(starts), np.int64), np.arange(len(starts))
+    for at in _depths(length):
+        if not len(live):
+            break
+        word = level.words[starts[live] + at]
+        order = np.lexsort((word, rank[live]))
+        live, word = live[order], word[order]
+        block, place = rank[live], np.arange(len(live))
+        edge = np.ones(len(live) + 1, bool)  # first of a block
+        edge[1:-1] = block[1:] != block[:-1]
+        part = edge.copy()  # first of those equal to this depth
+        part[1:-1] |= word[1:] != word[:-1]
+        begin = np.maximum.accumulate(np.where(edge[:-1], place, 0))
+        rank[live] = block + np.maximum.accumulate(np.where(part[:-1], place, 0)) - begin
+        live = live[~(part[:-1] & part[1:])]
+    level.matched[live] = True
+    order = np.argsort(rank, kind="stable")
+    level.starts, level.matched = starts[order], level.matched[order]
     return level
 
 
+def _depths(length: int) -> list[int]:
+    return [*range(0, length - 7, 8), *([max(length - 8, 0)] if length % 8 else [])]
+
+
 def merge_scan(a: Level, b: Level, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Both sorted lists merged: the place in ``a`` of each window of ``b``, which of ``b`` are in ``a``, which of ``a`` in ``b``.
 
@@ -167,7 +175,7 @@ def merge_scan(a: Level, b: Level, length: int) -> tuple[np.ndarray, np.ndarray,
     place, in_a, in_b = np.zeros(len(b.starts), np.int64), np.zeros(len(b.starts), bool), np.zeros(len(a.starts), bool)
     ia, ib = np.arange(len(a.starts)), np.arange(len(b.starts))
     ga, gb = np.zeros(len(ia), np.int64), np.zeros(len(ib), np.int64)  # block of each window that is left
-    for at in [*range(0, length - 7, 8), *([max(length - 8, 0)] if length % 8 else [])]:
+    for at in _depths(length):
         if not len(ia) or not len(ib):
             break
         words, rank = np.unique(np.concatenate([b.words[b.starts[ib] + at], a.words[a.starts[ia] + at]]), return_inverse=True)
@@ -227,25 +235,31 @@ class IndexFamily:
         return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
-def family_matches(groups: list[tuple[bytes, int]], length: int, batch_windows: int = BATCH_WINDOWS) -> list[np.ndarray]:
-    """For runs (text, windows) of one family, the windows of each that occur in it at least twice."""
+def family_matches(runs: list[tuple], length: int, batch_windows: int = BATCH_WINDOWS) -> list[np.ndarray]:
+    """For runs of one family, (text, number of windows or their starts), the windows of each that occur in it at least twice."""
     family = IndexFamily(length)
     bases, base, i = [], 0, 0
-    while i < len(groups):
+    while i < len(runs):
         texts, starts, size, count = [], [], 0, 0
-        while i < len(groups) and (not count or count + groups[i][1] <= batch_windows):
-            text, windows = groups[i]
-            starts.append(size + np.arange(windows))
+        while i < len(runs) and (not count or count < batch_windows):
+            text, own = runs[i]
+            own = np.arange(own) if isinstance(own, int) else own
+            starts.append(size + own)
             texts.append(np.frombuffer(text, np.uint8))
             bases.append(base + size)
             size += len(text)
-            count += windows
+            count += _weight(len(own), len(text))
             i += 1
         family.add(np.concatenate(texts), np.concatenate(starts))
         base += size
     hits = family.matched()
     edge = np.searchsorted(hits, np.array([*bases, base]))
-    return [hits[edge[k] : edge[k + 1]] - bases[k] for k in range(len(groups))]
+    return [hits[edge[k] : edge[k + 1]] - bases[k] for k in range(len(runs))]
+
+
+def _weight(windows: int, size: int) -> int:
+    """What a run adds to a batch: its windows, and its text where that is long beside them."""
+    return windows + size // 16
 
 
 _FOUND = "p1 long, p2 long, hits array<struct<first:int,end:int>>"
@@ -262,10 +276,22 @@ def _by_family(texts: DataFrame, length: int) -> DataFrame:
     """(p1, p2, hits) of the distinct texts with repeated windows; ``texts``: gram, p1, p2, windows, n, bytes."""
 
     def solve(held):
-        runs = [(h[5], h[3]) for h in held for _ in range(min(h[4], 2))]  # two of a text that occurs more than once
-        first = np.cumsum([0] + [min(h[4], 2) for h in held])[:-1]
+        mixed = {h[0] for h in held if h[4] == 1}  # grams of a text that occurs once: all windows are compared
+        runs, first = [], []
+        for gram, _, _, windows, n, text in held:
+            ends = np.unique([0, windows - 1])
+            first.append(len(runs))
+            runs.append((text, windows if gram in mixed else ends))
+            if n > 1:
+                runs.append((text, ends))  # another run of the class
         hits = family_matches(runs, length)
-        found = [(h[1], h[2], _ranges(h[3], hits[k])) for h, k in zip(held, first, strict=True) if len(hits[k])]
+        found = []
+        for h, k in zip(held, first, strict=True):
+            own = hits[k]
+            if h[4] > 1 and len(own) and own[0] == 0 and own[-1] == h[3] - 1 and len(hits[k + 1]):
+                own = np.arange(h[3])  # both ends match in two equal runs, so does all between
+            if len(own):
+                found.append((h[1], h[2], _ranges(h[3], own)))
         columns = [pa.array([f[k] for f in found], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, _HITS))]
         return pa.RecordBatch.from_arrays(columns, names=["p1", "p2", "hits"])
 
@@ -278,7 +304,7 @@ def _by_family(texts: DataFrame, length: int) -> DataFrame:
                     yield solve(held)  # nothing later can match these
                     held, count = [], 0
                 held.append(row)
-                count += row[3] * min(row[4], 2)
+                count += _weight(row[3], len(row[5]))
         if held:
             yield solve(held)
 

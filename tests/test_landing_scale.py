@@ -44,3 +44,32 @@ def test_items_are_made_after_the_shuffle(spark):
     plan = documents(lineitem(spark, 100))._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("RepartitionByExpression", 1)
     assert "item_json" in above and "struct(" not in below
+
+
+def test_small_documents_make_few_bronze_files(spark, spec, tmp_path):
+    landing, bronze = tmp_path / "landing", tmp_path / "bronze"
+    landing.mkdir()
+    tasks = spark.sparkContext.defaultParallelism
+    for i in range(30 * (tasks + 4)):  # Spark's own packing makes a task of thirty
+        (landing / f"{i:06d}.json").write_text('{"data":[{"transactionId":"%d"}]}' % i)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    run_bronze(spark, str(landing), str(bronze), str(tmp_path / "ckpt"), spec)
+    assert len([f for f in os.listdir(bronze) if f.startswith("part-")]) <= tasks + 1
+    assert spark.read.parquet(str(bronze)).select("transaction_id").distinct().count() == 30 * (tasks + 4)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_folds_rewrite_twice_the_table_at_most(spark, spec, tmp_path):
+    """Twelve equal batches of new keys, a fold due after each: the log is folded when it has caught up with the base."""
+    lineitem(spark, 1200).write.parquet(str(tmp_path / "lineitem.parquet"))
+    path = str(tmp_path / "bronze")
+    bronze_batch(spark, landing_fixture(spark, str(tmp_path)), spec).write.parquet(path)
+    bronze = spark.read.schema(spec.bronze_schema()).parquet(path)
+    table = silver_table(spark, str(tmp_path / "silver"), spec, buckets=2)
+    for b in range(12):
+        part = bronze.where(F.pmod(F.xxhash64(*spec.keys), F.lit(12)) == b)
+        process_silver_batch(part, b, spec, table, str(tmp_path / "quarantine"), compact_every=1)
+    folds = [d for d in os.listdir(tmp_path / "silver" / "base") if d.startswith("lf_version=")]
+    assert 2 <= len(folds) <= 6  # twelve before
+    valid = bronze.where(spec.rule_map["valid_business_key"])
+    assert table.current().count() == valid.select(*spec.keys).distinct().count()

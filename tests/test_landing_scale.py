@@ -73,3 +73,13 @@ def test_folds_rewrite_twice_the_table_at_most(spark, spec, tmp_path):
     assert 2 <= len(folds) <= 6  # twelve before
     valid = bronze.where(spec.rule_map["valid_business_key"])
     assert table.current().count() == valid.select(*spec.keys).distinct().count()
+
+
+def test_an_arrival_is_cut_by_its_size(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1), i % 3, "view", 1.0, "{}") for i in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.repartition(24).write.parquet(str(tmp_path / "events.parquet"))
+    catalog._arrives(spark, str(tmp_path), str(tmp_path / "source"), [0])
+    (arrival,) = os.listdir(tmp_path / "source")
+    assert len([f for f in os.listdir(tmp_path / "source" / arrival) if f.startswith("part-")]) == 1
+    assert spark.read.parquet(str(tmp_path / "source" / arrival)).count() == 120

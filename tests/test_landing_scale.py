@@ -83,3 +83,10 @@ def test_an_arrival_is_cut_by_its_size(spark, tmp_path):
     (arrival,) = os.listdir(tmp_path / "source")
     assert len([f for f in os.listdir(tmp_path / "source" / arrival) if f.startswith("part-")]) == 1
     assert spark.read.parquet(str(tmp_path / "source" / arrival)).count() == 120
+
+
+def test_bare_numbers_keep_their_text_on_both_paths(spark, spec, tmp_path):
+    lineitem(spark, 600).write.parquet(str(tmp_path / "lineitem.parquet"))
+    landing = landing_fixture(spark, str(tmp_path), bare=True)
+    fast, rescue = (sorted(map(tuple, bronze_batch(spark, landing, spec, rescue=r).select("transaction_id", *catalog.AMOUNTS).collect())) for r in (False, True))
+    assert fast == rescue and any(row[1].endswith("0E+2") for row in fast)

@@ -7,9 +7,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import catalog
+from ledgerflow.plans import catalog, fixtures
 from ledgerflow.plans.fixtures import documents, landing_fixture
 from ledgerflow.plans.medallion import bronze_batch, process_silver_batch, silver_table
+from ledgerflow.plans.sink import write_clustered
 from ledgerflow.streaming.bronze import run_bronze
 
 
@@ -90,3 +91,36 @@ def test_bare_numbers_keep_their_text_on_both_paths(spark, spec, tmp_path):
     landing = landing_fixture(spark, str(tmp_path), bare=True)
     fast, rescue = (sorted(map(tuple, bronze_batch(spark, landing, spec, rescue=r).select("transaction_id", *catalog.AMOUNTS).collect())) for r in (False, True))
     assert fast == rescue and any(row[1].endswith("0E+2") for row in fast)
+
+
+def shuffle_files(spark) -> int:
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return sum(f.startswith("shuffle_") for folder in folders for _, _, files in os.walk(folder) for f in files)
+
+
+def test_the_landing_copy_is_shuffled_in_turns(spark, spec, tmp_path, monkeypatch):
+    """A turn has all rows of its keys, under numbers of its own; no turn's shuffle files stay."""
+    lineitem(spark, 9000).write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = spark.read.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(fixtures, "TURN_BYTES", size(str(tmp_path / "lineitem.parquet")) // 3 + 1)
+    assert fixtures.turns_of(rows) == 3
+    before = shuffle_files(spark)
+    landing = landing_fixture(spark, str(tmp_path), fresh=True)
+    assert shuffle_files(spark) <= before
+    bronze = bronze_batch(spark, landing, spec)
+    turn = F.shiftright(F.regexp_extract("source_file", r"(\d+)\.json", 1).cast("long"), fixtures.TURN_SHIFT)
+    per_key = bronze.groupBy("transaction_id").agg(F.count_distinct(turn).alias("turns"), F.min(turn).alias("turn"))
+    assert {(r.turns, r.turn) for r in per_key.select("turns", "turn").distinct().collect()} == {(1, 0), (1, 1), (1, 2)}
+    cols = ["client_id", "transaction_id", "transaction_value_amount"]
+    whole = spark.read.parquet(str(tmp_path / "lineitem.parquet"))
+    item = fixtures.transaction_items(whole).select("item.clientId", "item.transactionId", "item.transactionValue.amount")
+    assert sorted(map(tuple, bronze.select(*cols).collect())) == sorted(map(tuple, item.collect()))
+
+
+def test_a_clustered_write_leaves_no_shuffle_files(spark, spec, tmp_path):
+    lineitem(spark, 2000).write.parquet(str(tmp_path / "lineitem.parquet"))
+    bronze = bronze_batch(spark, landing_fixture(spark, str(tmp_path)), spec)
+    before = shuffle_files(spark)
+    write_clustered(bronze, str(tmp_path / "clustered"), spec.cluster_by, spread=spec.keys)
+    assert shuffle_files(spark) <= before
+    assert all(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "clustered") if f.startswith("part-"))

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import bloom, components, decontaminate, exact, langid, ngram_join, pieces, pii, quality, sharding, substring_dedup, toxicity
+from ledgerflow.llm.common import chunks
 
 SF = "/root/testdata/sf0.01"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -524,6 +525,23 @@ def test_quality_held_out(spark):
     assert np.mean([r.predicted == r.quality for r in held]) > 0.95
 
 
+def test_quality_learns_from_all_labelled_rows(spark):
+    """One text of 140,000 characters and more rows than a group has: mean and cut are those of all of them."""
+    texts = ["A plain line of words, number %d." % i if i % 3 else "BUY NOW!!! $$$ %d" % i for i in range(240)] + ["Long and plain. " * 9000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(len(texts))], "doc_id long, quality int")
+    table = quality.measured(docs)
+    model = quality.train_on(table, lab, 40)
+    used = [t for i, t in enumerate(texts) if crc(i, 5) != 0]
+    x = np.concatenate([quality.features(c) for c in chunks(pa.array(used, pa.large_string()))])
+    assert any(len(t) > 65_536 for t in used) and np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-3))
+    right = quality.quality(docs.where("doc_id < 240"), lab, 40).join(lab, "doc_id").where("predicted = quality").count()
+    assert right > 235
+    worth = np.sort(model.worth(x))
+    bad = sum(i % 3 == 0 for i in range(len(texts)) if crc(i, 5) != 0)
+    assert worth[bad - 1] <= model.cut <= worth[bad]
+
+
 def test_scores_do_not_use_other_columns(spark, tmp_path):
     docs, lab = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = toxicity.train_on(docs, lab)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import catalog, fixtures
+from ledgerflow.plans import catalog, fixtures, medallion
 from ledgerflow.plans.fixtures import documents, landing_fixture
 from ledgerflow.plans.medallion import bronze_batch, process_silver_batch, silver_table
 from ledgerflow.plans.sink import write_clustered
+from ledgerflow.session import Fs
 from ledgerflow.streaming.bronze import run_bronze
 
 
@@ -124,3 +126,14 @@ def test_a_clustered_write_leaves_no_shuffle_files(spark, spec, tmp_path):
     write_clustered(bronze, str(tmp_path / "clustered"), spec.cluster_by, spread=spec.keys)
     assert shuffle_files(spark) <= before
     assert all(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "clustered") if f.startswith("part-"))
+
+
+def test_the_table_is_read_a_bounded_number_of_times(spark, tmp_path, monkeypatch):
+    """A turn reads the whole table, so with turns of a fixed size a landing copy cost the square of its table."""
+    path = str(tmp_path / "lineitem.parquet")
+    lineitem(spark, 2000).write.parquet(path)
+    monkeypatch.setattr(fixtures, "TURN_BYTES", 64)
+    rows = spark.read.parquet(path)
+    assert size(path) > 64 * fixtures.MOST_TURNS and fixtures.turns_of(rows) == fixtures.MOST_TURNS
+    landing = str(tmp_path / "landing")
+    assert fixtures.land(rows, landing) == len([f for f in os.listdir(landing) if f.endswith(".json.gz")])

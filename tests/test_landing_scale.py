@@ -137,3 +137,37 @@ def test_the_table_is_read_a_bounded_number_of_times(spark, tmp_path, monkeypatc
     assert size(path) > 64 * fixtures.MOST_TURNS and fixtures.turns_of(rows) == fixtures.MOST_TURNS
     landing = str(tmp_path / "landing")
     assert fixtures.land(rows, landing) == len([f for f in os.listdir(landing) if f.endswith(".json.gz")])
+
+
+def test_the_next_batch_is_planned_while_one_is_written(spark, spec, monkeypatch):
+    """Batches come in order, and the one after is made ready before it is asked for; without ``ahead`` it is not."""
+    begun = {k: threading.Event() for k in "abc"}
+
+    def planned(spark, paths, spec, rescue):
+        begun[paths[0]].set()
+        return f"rows of {paths[0]}"
+
+    monkeypatch.setattr(medallion, "bronze_batch", planned)
+    parts = [[{"path": k}] for k in begun]
+    batches = medallion._read_ahead(spark, iter(parts), spec, True)
+    assert next(batches) == (parts[0], "rows of a")
+    assert begun["b"].wait(20)
+    assert list(batches) == [(parts[1], "rows of b"), (parts[2], "rows of c")]
+    for e in begun.values():
+        e.clear()
+    batches = medallion._read_ahead(spark, iter(parts), spec, True, ahead=False)
+    assert next(batches)[1] == "rows of a" and not begun["b"].is_set()
+
+
+def test_changed_files_come_in_bounded_batches_once(spark, spec, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i in range(7):
+        (landing / f"{i}.json").write_text('{"data":[{"transactionId":"%d"}]}' % i)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    args = (spark, str(landing), str(tmp_path / "bronze"), str(tmp_path / "manifest"), spec)
+    assert medallion.ingest_changed(*args, max_files=3, rescue=True) == 2
+    rows = spark.read.parquet(str(tmp_path / "bronze"))
+    assert sorted(map(tuple, rows.groupBy("batch_id").count().collect())) == [(0, 3), (1, 3), (2, 1)]
+    assert {r[0] for r in rows.select("transaction_id").collect()} == {str(i) for i in range(7)}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before

@@ -171,3 +171,35 @@ def test_changed_files_come_in_bounded_batches_once(spark, spec, tmp_path):
     assert sorted(map(tuple, rows.groupBy("batch_id").count().collect())) == [(0, 3), (1, 3), (2, 1)]
     assert {r[0] for r in rows.select("transaction_id").collect()} == {str(i) for i in range(7)}
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+class Waiting:
+    """A store whose calls return only when another one is under way."""
+
+    def __init__(self):
+        self.meet, self.times = threading.Barrier(2, timeout=20), {}
+
+    def listStatus(self, path):
+        return [Status(k) for k in range(8)]
+
+    def setTimes(self, path, time, access):
+        self.meet.wait()
+        self.times[path] = time
+
+
+class Status:
+    def __init__(self, k):
+        self.k = k
+
+    def getPath(self):
+        return self.k
+
+    def getModificationTime(self):
+        return 10**12 + self.k
+
+
+def test_files_are_backdated_side_by_side(spark, monkeypatch):
+    store = Waiting()
+    monkeypatch.setattr(Fs, "_fs", lambda self, p: store)
+    Fs(spark).backdate("/late", days=30)
+    assert store.times == {k: 10**12 + k - 30 * 86_400_000 for k in range(8)}

@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.bloom import member_filter, numbered, remove_rows
+from ledgerflow.llm.bloom import member_filter, numbered, remove_rows, take_rows
 from ledgerflow.llm.common import Chunk, byte_class, chunks, discard, lean, mix64, ship, stored, text_column, words_of
 from ledgerflow.llm.components import components
 
@@ -39,6 +39,10 @@ NGRAM = 3
 PERCENT = 90
 VERIFY_BLOCKS = 8
 PARITY_BITS = 512
+#: shared block rows are found in so many turns, one hash range each: a turn's shuffle files go before the next one's come
+TURNS = 4
+#: of a block row with so many sets at most, all pairs are known from the first pass over it
+SMALL = 6
 
 _WORD = ~byte_class((9, 13), (32, 32))
 
@@ -146,9 +150,17 @@ def _near_enough(size_a: str, parity_a: str, size_b: str, parity_b: str, percent
 
 
 def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity (folded to ``PARITY_BITS``), wide (whole), rows (block row digests)."""
+    """rid, doc_id, n_shingles, k1, k2 (128-bit digest of the set), parity (folded to ``PARITY_BITS``), wide (whole), rows0, rows1, ... (block row digests by hash range)."""
     rows = numbered(docs).select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("wide", pa.binary()), ("rows", pa.list_(pa.int64()))])
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("parity", pa.list_(pa.int64())), ("wide", pa.binary()), *((f"rows{k}", pa.list_(pa.int64())) for k in range(TURNS))])
+    ranges = np.linspace(0, 2.0**64, TURNS + 1)[1:-1].astype(np.uint64)
+
+    def by_range(found: list[np.ndarray]) -> Iterator[pa.Array]:
+        cuts = [np.concatenate([[0], np.searchsorted(r.view(np.uint64), ranges), [len(r)]]) for r in found]
+        for k in range(TURNS):
+            part = [r[c[k] : c[k + 1]] for r, c in zip(found, cuts, strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in part])]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(part)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
@@ -169,14 +181,13 @@ def _sketch(docs: DataFrame, n: int, percent: int) -> DataFrame:
                         pa.array(np.array(k2, np.uint64).view(np.int64)),
                         pa.array([folded(v, PARITY_BITS // 8).view(np.int64) for v in wide], pa.list_(pa.int64())),
                         pa.array([v.tobytes() for v in wide], pa.binary()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows_])]).astype(np.int32)), pa.array(np.concatenate(rows_))
-                        ),
+                        *by_range(rows_),
                     ],
                     schema=schema,
                 )
 
-    return rows.mapInArrow(lean(run), "rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, wide binary, rows array<long>")
+    turns = ", ".join(f"rows{k} array<long>" for k in range(TURNS))
+    return rows.mapInArrow(lean(run), f"rid long, doc_id long, n_shingles long, k1 long, k2 long, parity array<long>, wide binary, {turns}")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -267,6 +278,31 @@ def _opened(held: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
     return opened, entries, across
 
 
+def _small_pairs(few: DataFrame, percent: int) -> DataFrame:
+    """(u, v): every pair near enough of the block rows in ``few`` (row, node, size, parity; at most ``SMALL`` nodes a row)."""
+    in_row = Window.partitionBy("row").orderBy("node")
+    entry = F.struct("node", "size", "parity")
+    before = few.select("node", "size", "parity", *(F.lag(entry, k).over(in_row).alias(f"b{k}") for k in range(1, SMALL)))
+    each = before.select("node", "size", "parity", F.explode(F.array_compact(F.array(*(f"b{k}" for k in range(1, SMALL))))).alias("other"))
+    near = each.where(_near_enough("size", "parity", "other.size", "other.parity", percent))
+    return near.select(F.col("node").alias("u"), F.col("other.node").alias("v")).distinct()
+
+
+def _hub_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each node with the smallest of the smallest nodes of its block rows that is near enough."""
+    hubs = held.groupBy("row").agg(F.min(F.struct("node", "size", "parity")).alias("hub"))
+    near = held.join(hubs, "row").where("hub.node < node").where(_near_enough("size", "parity", "hub.size", "hub.parity", percent))
+    return near.groupBy("node").agg(F.min("hub.node").alias("v")).select(F.col("node").alias("u"), "v")
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) that no component holds both of."""
+    a = roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))
+    b = roots.select(F.col("node").alias("v"), F.col("root").alias("rv"))
+    both = pairs.join(a, "u", "left").join(b, "v", "left")
+    return both.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
+
+
 def _some_pairs(opened: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each node with the first one of a small pseudo-random part of its block row, another one each turn."""
     part = F.pmod(F.xxhash64("node", F.lit(turn)), F.greatest((F.col("n") / 4).cast("long"), F.lit(1)))
@@ -285,16 +321,17 @@ def _all_pairs(opened: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("u"), "v").distinct()
 
 
-def _linked(held: DataFrame, first: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(node, root) of all nodes with links, from block rows ``held`` (row, node, size, parity, n).
+def _linked(held: DataFrame, small: DataFrame, wide: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, root) of all nodes with links, from the pairs (u, v) of the small block rows and the larger
+    rows ``held`` (row, node, size, parity, n).
 
-    The pairs ``first`` (u, v), each node with the smallest one near enough of a shared row, are tried at once. Then, while the pairs
+    Each node is tried with the smallest one of its pairs or rows first. Then, while the pairs of the larger rows
     left across components outnumber the entries and keep falling, each node is tried with one other
     node per shared row and turn, so families whose members are close to some others only grow
-    together at a cost linear in their size. Last, every pair that is left is tried: the result
-    never depends on the turns.
+    together at a cost linear in their size. Last, every pair that is left is tried, those of the small
+    rows too: the result never depends on the turns.
     """
-    pairs = first
+    pairs = small.unionByName(_hub_pairs(held, percent)).groupBy("u").agg(F.min("v").alias("v"))
     links, turn, last, table = None, 0, None, held
     while True:
         tried = stored(pairs, "ngram-pairs")
@@ -308,9 +345,6 @@ def _linked(held: DataFrame, first: DataFrame, wide: DataFrame, docs: DataFrame,
         before, (opened, entries, across) = table, _opened(held, roots)
         table = opened
         discard(before)
-        if not across:
-            return roots
-        discard(roots)
         falling = last is None or across < last * 7 // 10
         held = opened.drop("root")  # rows without a pair across components stay so
         if across > entries and falling:
@@ -318,7 +352,9 @@ def _linked(held: DataFrame, first: DataFrame, wide: DataFrame, docs: DataFrame,
             pairs = _some_pairs(opened, turn, percent)
         else:
             turn = -1
-            pairs = _all_pairs(opened, percent)
+            pairs = _across(small, roots)
+            if across:
+                pairs = pairs.unionByName(_all_pairs(opened, percent)).distinct()
 
 
 def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -336,20 +372,30 @@ def ngram_components(docs: DataFrame, n: int = NGRAM, percent: int = PERCENT) ->
     members = slim.where("n_shingles > 0")
     nodes = stored(members.groupBy(*key).agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "ngram-nodes")
 
-    blocks = rows.select("rid", F.col("n_shingles").alias("size"), "parity", F.explode("rows").alias("row"))
-    shared = stored(blocks.select("row").groupBy("row").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("row"), "ngram-shared")
-    held = blocks.where(member_filter(shared)("row")).join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-    held = stored(held.withColumnRenamed("rid", "node"), "ngram-held")
+    shared = [
+        stored(rows.select(F.explode(f"rows{k}").alias("row")).groupBy("row").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("row"), "ngram-shared")
+        for k in range(TURNS)
+    ]
+    every = shared[0]
+    for part in shared[1:]:
+        every = every.unionByName(part)
+    blocks = rows.select(F.col("rid").alias("node"), F.col("n_shingles").alias("size"), "parity", F.explode(F.concat(*(f"rows{k}" for k in range(TURNS)))).alias("row"))
+    # rows with a set that an earlier row has are few, or their block rows do not matter: only these are looked up
+    again = stored(members.select(F.col("rid").alias("node")).join(nodes.select("node"), "node", "left_anti"), "ngram-again")
+    blocks = blocks.where(member_filter(every)("row"))
+    if not again.isEmpty():
+        maybe = stored(blocks.withColumn("maybe", member_filter(again)("node")), "ngram-maybe")
+        sure = maybe.where("not maybe").drop("maybe")
+        blocks = sure.unionByName(maybe.where("maybe").drop("maybe").join(again, "node", "left_anti"))
+    loose = stored(blocks, "ngram-loose")
 
     wide = stored(rows.where("n_shingles > 0").select(F.col("rid").alias("node"), F.col("n_shingles").alias("size"), "wide"), "ngram-wide")
-    discard(shared, rows)
-    hubs = held.groupBy("row").agg(F.min(F.struct("node", "size", "parity")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    loose, hubs = held, stored(hubs, "ngram-hubs")
-    held = stored(held.join(hubs.select("row", "n"), "row"), "ngram-held")
-    near = loose.join(hubs, "row").where("hub.node < node").where(_near_enough("size", "parity", "hub.size", "hub.parity", percent))
-    first = stored(near.groupBy("node").agg(F.min("hub.node").alias("v")).select(F.col("node").alias("u"), "v"), "ngram-first")
-    discard(loose, hubs)
-    roots = _linked(held, first, wide, docs, n, percent)
+    discard(*shared, rows)
+    times = stored(loose.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "ngram-times")
+    small = stored(_small_pairs(loose.join(times.where(F.col("n") <= SMALL).select("row"), "row"), percent), "ngram-small")
+    held = stored(take_rows(loose, "row", times.where(F.col("n") > SMALL)), "ngram-held")
+    discard(loose, times)
+    roots = _linked(held, small, wide, docs, n, percent)
     discard(wide)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

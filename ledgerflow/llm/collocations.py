@@ -20,13 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.bloom import member_filter
-from ledgerflow.llm.common import byte_class, chunks, lean, mix64, prefix_sums, ship, stored, substring_hash, spans_of, text_column, words_of
+from ledgerflow.llm.common import byte_class, chunks, lean, mix64, prefix_sums, ship, slices, stored, substring_hash, spans_of, text_column, words_of
 
 TRIGGER = 32
+#: dictionary text that a task counts at once; its arrays are some thirty times as large
+PART_BYTES = 2 << 20
 _STOPS = b".,;:!?\x0a\x0b\x0c\x0d"
 _STOP = byte_class(*[(b, b) for b in _STOPS])
 _WORD = ~(_STOP | byte_class((9, 9), (32, 32)))
@@ -93,17 +96,19 @@ def _counts(parsed: DataFrame, sizes: tuple[int, ...], window: int, both=None) -
     passes = both.plain if both is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, PART_BYTES)):
             rows = batch.column(1).cast(pa.binary()).to_pylist()
-            if not rows:
-                continue
             lang = batch.column(0).dictionary_encode()
             names, code = lang.dictionary.to_pylist(), lang.indices.to_numpy()
-            data = b"\n".join(rows)
+            data = b"\n".join(rows) + b"\n"
             raw = np.frombuffer(data, np.uint8)
             start, end = spans_of(_TOKEN[raw])
-            coded = pa.array(data.split(), pa.binary()).dictionary_encode()
+            # one byte is between two words, so a word and that byte reach up to the next one
+            spaced = np.where(raw == 10, 32, raw).astype(np.uint8)
+            cuts = pa.py_buffer(np.append(start, len(raw)).astype(np.int32))
+            coded = pa.Array.from_buffers(pa.binary(), len(start), [None, cuts, pa.py_buffer(spaced)]).dictionary_encode()
             word, vocabulary = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+            spelt = pc.binary_slice(coded.dictionary, 0, -1)
             row_at = np.cumsum([0] + [len(r) + 1 for r in rows])
             first = np.searchsorted(start, row_at)
             row = np.repeat(np.arange(len(rows)), np.diff(first))
@@ -134,21 +139,19 @@ def _counts(parsed: DataFrame, sizes: tuple[int, ...], window: int, both=None) -
                 total = np.zeros(len(one), np.int64)
                 np.add.at(total, group, freq[at])
                 keep = at[one]
-                langs += [names[i] for i in code[row[keep]].tolist()]
-                phrases += [data[a:b] for a, b in zip(start[keep].tolist(), end[keep + size - 1].tolist(), strict=True)]
+                langs.append(lang.dictionary.take(pa.array(code[row[keep]])))
+                parts = [spelt.take(pa.array(word[keep + k])) for k in range(size)]
+                phrases.append(pc.binary_join_element_wise(*parts, b" ") if size > 1 else parts[0])
                 f.append(total)
             if 1 in sizes:
                 total = np.zeros(len(names), np.int64)
                 np.add.at(total, code[row], np.where(owned, freq, 0))
-                langs, phrases = langs + names, phrases + [b""] * len(names)
+                langs.append(lang.dictionary)
+                phrases.append(pa.array([b""] * len(names), pa.binary()))
                 f.append(total)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array(langs, pa.string()),
-                    "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-                    "f": pa.array(np.concatenate(f) if f else np.zeros(0, np.int64), pa.int64()),
-                }
-            )
+            del data, raw, spaced, coded, sums
+            for each in zip(langs, phrases, f, strict=True):
+                yield pa.RecordBatch.from_arrays([each[0], each[1].cast(pa.string()), pa.array(each[2], pa.int64())], names=["lang", "phrase", "f"])
 
     counted = parsed.select("lang", "chunk", "tail", "freq").mapInArrow(lean(run), "lang string, phrase string, f long")
     return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pyarrow as pa
 
-from ledgerflow.llm import collocations
+from ledgerflow.llm import collocations, substring_dedup
 
 
 class Task:
@@ -61,3 +61,14 @@ def test_phrases_of_a_large_batch(spark):
         add(out)
     assert found == want
     assert _most(frame.task, batch) < 120  # the whole batch at once took more
+
+
+def test_anchors_of_a_large_batch(spark):
+    rng = random.Random(4)
+    text = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(2000)]
+    frame = Task()
+    substring_dedup._grams(frame, 400)
+    batch = pa.RecordBatch.from_pydict({"text": text})
+    seen = []
+    most = _most(frame.task, batch, lambda out: seen.extend(out.column(0).to_pylist()))
+    assert most < 50 and len(seen) > 20_000

@@ -17,7 +17,8 @@ entries of A A' that reach the similarity. The product is never formed whole:
 * For a surviving pair overlap counts accumulate column block by column block; the pair is discarded as
   soon as the n-grams missed exceed what its two sizes allow.
 
-Equal sets are one row from the start. Documents are tried with few others of a shared block row first;
+Equal sets are one row from the start. Block rows that few documents share are paired in one pass, parity vectors
+travel on with larger ones only. Documents are tried with few others of a shared block row first;
 once components are known, only pairs across components are tried, so a large group of copies costs a
 few links each, and no link between different texts is lost.
 """

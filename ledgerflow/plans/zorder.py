@@ -18,9 +18,11 @@ Z = "_lf_z"
 def range_bounds(df: DataFrame, cols, sample: int = SAMPLE, bits: int = BITS) -> dict[str, list]:
     """Upper-exclusive bounds of the ranges of each column, from ``sample`` rows drawn at random.
 
-    Only the layout depends on the sample; a column of few values has fewer bounds.
+    Only the layout depends on the sample; a column of few values has fewer bounds. The tasks' candidates meet in a
+    shuffle: a limit that is collected sends ``sample`` rows of every task to the driver.
     """
-    rows = df.select(*cols).orderBy(F.rand(7)).limit(sample).collect()
+    drawn = df.select(*cols).orderBy(F.rand(7)).limit(sample)
+    rows = drawn.agg(F.collect_list(F.struct(*cols)).alias("rows")).first()["rows"]
     out = {}
     for c in cols:
         values = sorted(r[c] for r in rows if r[c] is not None)

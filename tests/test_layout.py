@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerflow.plans.bucketed import BucketedTable
 from ledgerflow.plans.fixtures import landing_fixture
 from ledgerflow.plans.medallion import run_pipeline
-from ledgerflow.plans.zorder import file_ranges, range_number, z_value, zordered
+from ledgerflow.plans.zorder import file_ranges, range_bounds, range_number, z_value, zordered
 
 from conftest import SF
 
@@ -132,3 +132,22 @@ def test_zorder_of_nulls_one_value_and_nothing(spark, tmp_path):
     zordered(df, ["a", "b"], partitions=4, spread=["id"]).write.parquet(path)
     assert spark.read.parquet(path).count() == 50
     assert zordered(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_the_range_sample_meets_in_a_shuffle(spark, monkeypatch):
+    """A collected limit sends the sample's rows of every task to the driver; here it gets the drawn rows alone."""
+    plans = []
+
+    def seen(method):
+        def call(self, *args):
+            plans.append(self._jdf.queryExecution().executedPlan().toString())
+            return method(self, *args)
+
+        return call
+
+    for name in ("collect", "first"):
+        monkeypatch.setattr(type(spark.range(0)), name, seen(getattr(type(spark.range(0)), name)))
+    df = spark.range(1000, numPartitions=20).select((F.col("id") % 100).alias("a"), F.lit(None).cast("string").alias("b"))
+    bounds = range_bounds(df, ["a", "b"], sample=500, bits=2)
+    assert len(bounds["a"]) == 3 and bounds["a"] == sorted(bounds["a"]) and bounds["b"] == []
+    assert plans and all("Aggregate" in p.split("TakeOrderedAndProject")[0] for p in plans)

@@ -203,3 +203,21 @@ def test_files_are_backdated_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(Fs, "_fs", lambda self, p: store)
     Fs(spark).backdate("/late", days=30)
     assert store.times == {k: 10**12 + k - 30 * 86_400_000 for k in range(8)}
+
+
+def test_documents_grow_before_their_number_does(spark, spec, tmp_path, monkeypatch):
+    """Twice the table, documents of twice the rows, up to a bound; a part of the table is cut as the whole is."""
+    path = str(tmp_path / "lineitem.parquet")
+    lineitem(spark, 9000).write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert fixtures.items_of(rows) == fixtures.FEWEST_ITEMS == 256
+    fixtures.land(rows, str(tmp_path / "small"))
+    monkeypatch.setattr(fixtures, "DOC_TABLE_BYTES", size(path) / 3)
+    assert fixtures.items_of(rows) == fixtures.items_of(rows.where("l_orderkey % 2 = 0")) == 1024
+    fixtures.land(rows, str(tmp_path / "large"))
+    few, many = (bronze_batch(spark, str(tmp_path / n), spec, rescue=True).drop("source_file", "ingestion_ts", "item_pos", "_rescued_data") for n in ("large", "small"))
+    assert few.exceptAll(many).isEmpty() and few.count() == many.count() == 9000
+    n = {k: len([f for f in os.listdir(tmp_path / k) if f.endswith(".json.gz")]) for k in ("small", "large")}
+    assert 9000 / 1024 <= n["large"] < n["small"] / 3
+    monkeypatch.setattr(fixtures, "DOC_TABLE_BYTES", 1)
+    assert fixtures.items_of(rows) == fixtures.MOST_ITEMS

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerflow.operators.latest import latest_by_max
+from ledgerflow.operators.latest import latest_per_key
 from ledgerflow.plans.sink import conform
-from ledgerflow.session import Fs
+from ledgerflow.session import SHUFFLE_CLEANUP, Fs, settings
 
 GENERATION, BUCKETS = "ledgerflow.generation", "ledgerflow.buckets"
 HIT = "_lf_hit"
@@ -66,10 +66,10 @@ class BucketedTable:
     def merged(self, batch: DataFrame) -> DataFrame:
         """The rows of the table after a merge of ``batch``, lazily; nothing is written."""
         cols = self.schema.names
-        rows = latest_by_max(conform(batch, self.schema, self.keys), self.keys, self.sequence_by).select(*cols)
+        rows = latest_per_key(conform(batch, self.schema, self.keys), self.keys, self.sequence_by).select(*cols)
         state = self._state()
         if state is None:
-            return rows.repartition(self.buckets, *self.keys)
+            return self._dealt(rows)
         generation, buckets = state
         base = self.spark.table(self._table(generation))
         # dealt as the buckets are, so the table needs no exchange; hashed per bucket, so it needs no sort either
@@ -79,7 +79,13 @@ class BucketedTable:
         newer = F.struct(*[F.col(f"_n_{c}") for c in self.sequence_by]) >= F.struct(*[base[c] for c in self.sequence_by])
         take = F.col(HIT).isNotNull() & (base[self.keys[0]].isNull() | newer)
         out = both.select(*[F.when(take, F.col(f"_n_{c}")).otherwise(base[c]).alias(c) for c in cols])
-        return out if buckets == self.buckets else out.repartition(self.buckets, *self.keys)
+        return out if buckets == self.buckets else self._dealt(out)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Dealt by key to a multiple of the buckets that is at least the session's width: a task's keys have one
+        bucket, and a bucket has as many files as tasks."""
+        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(self.buckets * max(1, -(-width // self.buckets)), *self.keys)
 
     def merge(self, batch: DataFrame) -> int:
         """Merge a batch and publish the result; returns its generation. Merging a batch again changes nothing."""
@@ -88,7 +94,8 @@ class BucketedTable:
         out, table = self.merged(batch), self._table(generation)
         self._drop(generation)
         self.spark.sql(self._declaration(generation))
-        out.write.insertInto(table, overwrite=True)
+        with settings(self.spark, {SHUFFLE_CLEANUP: "true"}):
+            out.write.insertInto(table, overwrite=True)
         described = _options([*self.properties, (GENERATION, generation), (BUCKETS, self.buckets)])
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name} COMMENT {_text(self.comment)} TBLPROPERTIES ({described}) AS SELECT * FROM {table}"

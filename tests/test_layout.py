@@ -151,3 +151,17 @@ def test_the_range_sample_meets_in_a_shuffle(spark, monkeypatch):
     bounds = range_bounds(df, ["a", "b"], sample=500, bits=2)
     assert len(bounds["a"]) == 3 and bounds["a"] == sorted(bounds["a"]) and bounds["b"] == []
     assert plans and all("Aggregate" in p.split("TakeOrderedAndProject")[0] for p in plans)
+
+
+def test_a_publish_is_written_by_all_tasks(spark, tmp_path):
+    """Eight buckets were written by eight tasks, whatever the rows; a bucket now has as many as the session's width gives."""
+    t = table(spark, tmp_path, buckets=3)
+    batch = rows(spark, *[(f"k{i}", "1", 1, "x") for i in range(200)])
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = t.merged(batch)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"hashpartitioning\(k#\d+.*, {-(-width // 3) * 3}\), REPARTITION_BY_NUM", plan)
+    t.merge(batch)
+    base = spark.table(t._table(0))
+    assert base.count() == 200 and "Bucketed: true" in base.groupBy("k", "day").count()._jdf.queryExecution().executedPlan().toString()
+    t.merge(rows(spark, *[(f"k{i}", "1", 2, "y") for i in range(100)]))
+    assert held(t) == sorted((f"k{i}", "1", 2 if i < 100 else 1, "y" if i < 100 else "x") for i in range(200))

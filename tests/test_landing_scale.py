@@ -221,3 +221,28 @@ def test_documents_grow_before_their_number_does(spark, spec, tmp_path, monkeypa
     assert 9000 / 1024 <= n["large"] < n["small"] / 3
     monkeypatch.setattr(fixtures, "DOC_TABLE_BYTES", 1)
     assert fixtures.items_of(rows) == fixtures.MOST_ITEMS
+
+
+def test_packed_bare_numbers_keep_their_text_without_rescue(spark, spec, tmp_path):
+    """The JSON source opens a file anew for the text of each number, and has none in a packed file."""
+    lineitem(spark, 600).write.parquet(str(tmp_path / "lineitem.parquet"))
+    landing = landing_fixture(spark, str(tmp_path), bare=True)
+    assert all(f.endswith(".json.gz") for f in os.listdir(local(landing)) if f.startswith("0"))
+    rows = bronze_batch(spark, landing, spec)
+    assert "FileScan text" in rows._jdf.queryExecution().executedPlan().toString()
+    texts = {r[0] for r in rows.select("transaction_value_amount").collect()}
+    assert any(t.endswith("0E+2") for t in texts) and any(t.startswith(fixtures.LONG_DIGITS) for t in texts)
+
+
+def test_documents_of_every_form_without_rescue(spark, spec, tmp_path):
+    item = '{"data":[{"clientId":"%s"}]}'
+    forms = {
+        "one": item % "a", "list": f'\n [{item % "b"},{item % "c"}]', "mark": "﻿" + item % "d", "empty": "[]", "blank": " \n",
+        "cut": '{"data":[{"clientId":"e"', "cut_list": f"[{item % 'f'}", "scalar": "7", "null_list": '{"data":null}',
+    }
+    for name, text in forms.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    found = bronze_batch(spark, str(tmp_path), spec).select(F.regexp_extract("source_file", r"(\w+)\.json", 1), "client_id").collect()
+    assert sorted((n, c or "") for n, c in found) == [
+        ("cut", ""), ("cut_list", ""), ("list", "b"), ("list", "c"), ("mark", "d"), ("null_list", ""), ("one", "a"), ("scalar", ""),
+    ]
